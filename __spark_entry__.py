@@ -50,7 +50,7 @@ def log_of(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 portable_sample = partial(sampling.sample_by_key, keys=ROW_KEY, portable=True)
-SETTINGS = pipeline.Settings(min_flights=MIN_FLIGHTS)
+SETTINGS = pipeline.Settings(min_flights=MIN_FLIGHTS, sample_keys=ROW_KEY)
 
 
 def stage_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -97,7 +97,7 @@ def clean_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def learned(spark: SparkSession, sf_dir: str):
     """The model's sample and what was learned from it."""
-    sample = pipeline.durable(pipeline.model_sample(clean_flights(spark, sf_dir), SETTINGS))
+    sample = pipeline.durable(pipeline.model_sample(keyed_flights(spark, sf_dir), SETTINGS))
     return sample, pipeline.learn(sample, SETTINGS)
 
 

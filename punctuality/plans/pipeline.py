@@ -51,7 +51,7 @@ class Results:
     causes: DataFrame
     top_origins: DataFrame
     months: DataFrame
-    model: PipelineModel
+    model: PipelineModel | None
     accuracy: DataFrame
     importance: DataFrame
     seconds: dict[int, float] = field(default_factory=dict)
@@ -94,19 +94,30 @@ def model_sample(cleaned: DataFrame, settings: Settings = Settings()) -> DataFra
 def learn(
     sample: DataFrame, settings: Settings = Settings()
 ) -> tuple[PipelineModel, DataFrame, DataFrame]:
-    """Train on split 0 of a sample and test on the rest: model, accuracy, importance."""
-    train_rows, test_rows = sample.filter("split = 0"), sample.filter("split > 0")
+    """Train on split 0 of a sample: the model, its test accuracy and its importances.
+
+    The accuracy is lazy; it is measured on the rows outside split 0.
+    """
     fitted = model.train(
-        train_rows,
+        sample.filter("split = 0"),
         max_depth=settings.max_depth,
         categorical=settings.categorical,
         index_on=sample if settings.index_on_whole_sample else None,
         seed=settings.seed,
     )
-    accuracy = durable(model.evaluate(model.score(fitted, test_rows)))
+    accuracy = model.evaluate(model.score(fitted, sample.filter("split > 0")))
     return fitted, accuracy, model.feature_importance(fitted)
 
 
+def nothing_learned(spark: SparkSession) -> tuple[None, DataFrame, DataFrame]:
+    """What :func:`learn` amounts to without training rows."""
+    return (
+        None,
+        spark.createDataFrame([("accuracy", None)], "metric string, value double"),
+        spark.createDataFrame([], "position int, feature string, impact double"),
+    )
+
+
 def sample_counts(sample: DataFrame) -> DataFrame:
     """Rows of a sample: all, those whose features are complete, and those by side."""
     usable = present(sample, model.CARRIER, model.DISTANCE) & month_of(model.DATE).isNotNull()
@@ -169,7 +180,12 @@ def run(
         sample = durable(model_sample(clean(raw), settings))
         n = sample_counts(sample).first()
         emit(f"--> Sample: {n.sampled:,} | Skipped: {n.skipped:,} | Train: {n.train:,} | Test: {n.test:,}")
-        fitted, accuracy, importance = learn(sample, settings)
+        if n.train:
+            fitted, accuracy, importance = learn(sample, settings)
+        else:
+            fitted, accuracy, importance = nothing_learned(spark)
+            emit("[Warning] no complete row to train on")
+        accuracy = durable(accuracy)
         for row in accuracy.dropna().collect():
             emit(f"--> [RESULT 4] Accuracy: {100 * row.value:.2f}%")
         for row in importance.orderBy("position").collect():

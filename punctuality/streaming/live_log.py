@@ -23,10 +23,10 @@ def follow_run_log(
     pieces of a live feed are; finished logs of any size go through ``read_run_log``.
     ``line_no`` orders by arrival time, then file name, then position.
     """
-    reader = spark.readStream.option("wholetext", True)
+    reader = spark.readStream
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    chunks = reader.text(f"{directory}/*").select(
+    chunks = reader.text(f"{directory}/*", wholetext=True).select(
         F.regexp_extract("_metadata.file_path", RUN_FOLDER, 1).alias("run_id"),
         F.col("_metadata.file_modification_time").alias("arrived"),
         F.col("_metadata.file_name").alias("file"),
