@@ -102,8 +102,12 @@ def learned(spark: SparkSession, sf_dir: str):
 
 
 def delay_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sample, (fitted, _, _) = learned(spark, sf_dir)
-    return model.score(fitted, sample.filter("split > 0"))
+    """Every row of the sample that the model was not trained on, with its prediction."""
+    _, (fitted, _, _) = learned(spark, sf_dir)
+    keyed = model.ml_input(
+        keyed_flights(spark, sf_dir), sampler=partial(sampling.sample_by_key, keys=ROW_KEY)
+    )
+    return model.score(fitted, keyed.filter(sampling.split_number(ROW_KEY) > 0))
 
 
 def dashboard_document(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,13 +8,14 @@ from pyspark.ml.feature import SQLTransformer, StringIndexer, StringIndexerModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from punctuality.functions import present
+from punctuality.functions import month_of, present
 from punctuality.schema import LATE_MINUTES, SEED, TREE_DEPTH
 
 # Model inputs, and the names they carry in the importance table.
 CARRIER, DISTANCE, DATE = "OP_UNIQUE_CARRIER", "DISTANCE", "FL_DATE"
 FEATURES = {"CARRIER_INDEX": "CARRIER", "DISTANCE": "DISTANCE", "Month_Index": "MONTH"}
 LABEL = "IS_DELAYED"
+CODE = "CARRIER_CODE"
 
 # MLlib's own default for the number of bins per feature.
 DEFAULT_BINS = 32
@@ -38,13 +39,42 @@ def ml_input(
     return sampled.filter(present(sampled, CARRIER, DISTANCE, DATE))
 
 
-def fit_carrier_index(df: DataFrame) -> StringIndexerModel:
+def tally(rows: DataFrame, *also: str, weight: str = "flights") -> DataFrame:
+    """Model rows that agree in carrier, distance, month, label and ``also`` as one row.
+
+    The tree sees nothing else of a row, so training on the tally with ``weight`` equals
+    training on the rows. However many rows there are, their tally is no larger than
+    the number of such combinations, and the many passes of the fit run over that.
+    A date stands for its month; ``weight`` counts the rows.
+    """
+    month = "Month_Index"
+    return (
+        rows.groupBy(CARRIER, DISTANCE, month_of(DATE).alias(month), LABEL, *also)
+        .agg(F.count(F.lit(1)).alias(weight))
+        .withColumn(DATE, F.make_date(F.lit(2000), F.col(month), F.lit(1)))
+        .drop(month)
+    )
+
+
+def fit_carrier_index(df: DataFrame, weight: str | None = None) -> StringIndexerModel:
     """Number the carriers by descending frequency, ties alphabetically.
 
-    The model holds the distinct carriers, which MLlib counts per task before they
+    The model holds the distinct carriers, which are counted per task before they
     reach the driver: their number, not that of the rows, bounds its size.
     """
-    return StringIndexer(inputCol=CARRIER, outputCol="CARRIER_CODE", handleInvalid="skip").fit(df)
+    if weight is None:
+        indexer = StringIndexer(inputCol=CARRIER, outputCol=CODE, handleInvalid="skip")
+        return indexer.fit(df)
+    ranked = (
+        df.dropna(subset=[CARRIER])
+        .groupBy(CARRIER)
+        .agg(F.sum(weight).alias("n"))
+        .orderBy(F.desc("n"), CARRIER)
+    )
+    labels = [row[CARRIER] for row in ranked.collect()]
+    return StringIndexerModel.from_labels(
+        labels, inputCol=CARRIER, outputCol=CODE, handleInvalid="skip"
+    )
 
 
 def carrier_index(df: DataFrame, indexer: StringIndexerModel | None = None) -> DataFrame:
@@ -61,7 +91,7 @@ def feature_stages(indexer: StringIndexerModel, categorical: bool = False) -> li
     carriers by order of frequency; ``categorical`` keeps the metadata. Rows with a
     missing feature, such as the month of an unreadable date, are skipped.
     """
-    carrier = "CARRIER_CODE" if categorical else "CAST(CARRIER_CODE AS DOUBLE)"
+    carrier = CODE if categorical else f"CAST({CODE} AS DOUBLE)"
     derive = SQLTransformer(
         statement=f"SELECT * EXCEPT ({DISTANCE}), {carrier} AS CARRIER_INDEX, "
         f"CAST({DISTANCE} AS DOUBLE) AS {DISTANCE}, "
@@ -87,31 +117,42 @@ def train(
     categorical: bool = False,
     index_on: DataFrame | None = None,
     seed: int = SEED,
+    weight: str | None = None,
 ) -> PipelineModel:
     """Fit the tree and return it with its feature stages as one pipeline.
 
+    With ``weight``, rows count as often as that column says, as in a :func:`tally`.
+
     Carriers are numbered on the training rows, so test rows cannot influence the
     order; pass the whole sample as ``index_on`` to number them on that instead.
     """
-    indexer = fit_carrier_index(train_df if index_on is None else index_on)
+    indexer = fit_carrier_index(train_df if index_on is None else index_on, weight)
     stages = feature_stages(indexer, categorical)
     bins = max(DEFAULT_BINS, len(indexer.labels)) if categorical else DEFAULT_BINS
     tree = DecisionTreeClassifier(
         labelCol=LABEL, featuresCol="features", maxDepth=max_depth, maxBins=bins, seed=seed
     )
-    rows = PipelineModel(stages).transform(train_df).select("features", LABEL)
+    kept = ["features", LABEL]
+    if weight is not None:
+        tree.setWeightCol(weight)
+        kept.append(weight)
+    rows = PipelineModel(stages).transform(train_df).select(*kept)
     return PipelineModel([*stages, tree.fit(rows)])
 
 
-def score(model: PipelineModel, df: DataFrame) -> DataFrame:
-    """Features, label and prediction of every row that has all features."""
-    return model.transform(df).select(*FEATURES, LABEL, "prediction")
+def score(model: PipelineModel, df: DataFrame, *also: str) -> DataFrame:
+    """Features, label, prediction and ``also`` of every row that has all features."""
+    return model.transform(df).select(*FEATURES, LABEL, "prediction", *also)
 
 
-def evaluate(predictions: DataFrame) -> DataFrame:
+def evaluate(predictions: DataFrame, weight: str | None = None) -> DataFrame:
     """``(metric, value)``: the accuracy as a fraction, NULL over no rows."""
     hit = (F.col(LABEL) == F.col("prediction")).cast("double")
-    return predictions.select(F.avg(hit).alias("accuracy")).unpivot([], ["accuracy"], "metric", "value")
+    if weight is None:
+        accuracy = F.avg(hit)
+    else:
+        accuracy = F.sum(hit * F.col(weight)) / F.sum(weight)
+    return predictions.select(accuracy.alias("accuracy")).unpivot([], ["accuracy"], "metric", "value")
 
 
 def feature_importance(model: PipelineModel) -> DataFrame:

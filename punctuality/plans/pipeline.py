@@ -20,7 +20,8 @@ from punctuality.operators.clean import clean, prune
 from punctuality.plans import rollup as rolled
 from punctuality.plans.durable import durable
 from punctuality.schema import (
-    LATE_MINUTES, MIN_FLIGHTS, SAMPLE_FRACTION, SEED, SPLIT_WEIGHTS, TOP_K, TREE_DEPTH,
+    FLIGHT_KEY, LATE_MINUTES, MIN_FLIGHTS, NEEDED_COLUMNS, SAMPLE_FRACTION, SEED, SPLIT_WEIGHTS,
+    TOP_K, TREE_DEPTH,
 )
 from punctuality.sources.flights import preview, read_first_available
 from punctuality.sources.results import publish, result_document
@@ -28,7 +29,12 @@ from punctuality.sources.results import publish, result_document
 
 @dataclass(frozen=True)
 class Settings:
-    """Parameters of a run."""
+    """Parameters of a run.
+
+    The sample and the split go by a hash of ``sample_keys`` (see :func:`sample_keys`),
+    so copies of a flight stay together. Where copies are many, ``random_draws`` decides
+    row by row instead, at the price of a sample that changes with the file layout.
+    """
 
     min_flights: int = MIN_FLIGHTS
     top_k: int = TOP_K
@@ -36,6 +42,7 @@ class Settings:
     sample_fraction: float = SAMPLE_FRACTION
     split_weights: Sequence[float] = SPLIT_WEIGHTS
     sample_keys: Sequence[str] | None = None
+    random_draws: bool = False
     seed: int = SEED
     max_depth: int = TREE_DEPTH
     categorical: bool = False
@@ -78,17 +85,31 @@ class RunLog:
         self.emit(f"--> [Time] Step {number} ({name}) took: {self.seconds[number]:.2f}s")
 
 
+def sample_keys(df: DataFrame) -> Sequence[str]:
+    """What identifies a row: the flight key if the table has it, else all columns."""
+    return FLIGHT_KEY if set(FLIGHT_KEY) <= set(df.columns) else df.columns
+
+
 def model_sample(cleaned: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """Sampled model input with its split number: the four columns training needs."""
-    keys = settings.sample_keys or cleaned.columns
-    sampler = partial(
-        sampling.sample_by_key, fraction=settings.sample_fraction, keys=keys, seed=settings.seed
-    )
-    number = sampling.split_number(keys, settings.split_weights, settings.seed)
+    """Tally of the sampled model input by split number, split 0 being for training.
+
+    Sampling, split and pre-aggregation happen in the scan stage.
+    """
+    if settings.random_draws:
+        sampler = partial(
+            sampling.sample_rows, fraction=settings.sample_fraction, seed=settings.seed
+        )
+        first = settings.split_weights[0] / sum(settings.split_weights)
+        number = (F.rand(settings.seed) >= first).cast("int")
+    else:
+        keys = settings.sample_keys or sample_keys(cleaned)
+        sampler = partial(
+            sampling.sample_by_key,
+            fraction=settings.sample_fraction, keys=keys, seed=settings.seed,
+        )
+        number = sampling.split_number(keys, settings.split_weights, settings.seed)
     sampled = model.ml_input(cleaned, settings.late_minutes, sampler)
-    return sampled.select(
-        model.CARRIER, model.DISTANCE, model.DATE, model.LABEL, number.alias("split")
-    )
+    return model.tally(sampled.withColumn("split", number), "split")
 
 
 def learn(
@@ -104,9 +125,10 @@ def learn(
         categorical=settings.categorical,
         index_on=sample if settings.index_on_whole_sample else None,
         seed=settings.seed,
+        weight="flights",
     )
-    accuracy = model.evaluate(model.score(fitted, sample.filter("split > 0")))
-    return fitted, accuracy, model.feature_importance(fitted)
+    predictions = model.score(fitted, sample.filter("split > 0"), "flights")
+    return fitted, model.evaluate(predictions, "flights"), model.feature_importance(fitted)
 
 
 def nothing_learned(spark: SparkSession) -> tuple[None, DataFrame, DataFrame]:
@@ -122,11 +144,12 @@ def sample_counts(sample: DataFrame) -> DataFrame:
     """Rows of a sample: all, those whose features are complete, and those by side."""
     usable = present(sample, model.CARRIER, model.DISTANCE) & month_of(model.DATE).isNotNull()
     first = F.col("split") == 0
+    count = lambda test: F.coalesce(F.sum(F.when(test, F.col("flights"))), F.lit(0))
     return sample.select(
-        F.count(F.lit(1)).alias("sampled"),
-        F.count_if(~usable).alias("skipped"),
-        F.count_if(usable & first).alias("train"),
-        F.count_if(usable & ~first).alias("test"),
+        count(F.lit(True)).alias("sampled"),
+        count(~usable).alias("skipped"),
+        count(usable & first).alias("train"),
+        count(usable & ~first).alias("test"),
     )
 
 
@@ -157,6 +180,7 @@ def run(
         for row in preview(flights).toJSON().collect():
             emit(f"  {row}")
         raw = prune(flights)
+        keyed = prune(flights, tuple(dict.fromkeys((*NEEDED_COLUMNS, *FLIGHT_KEY))))
 
     with log.step(3, "Cleaning"):
         rollup = durable(rolled.delay_rollup(raw, late_minutes=settings.late_minutes))
@@ -177,7 +201,7 @@ def run(
         emit("[Task 3] Analysis complete")
 
     with log.step(5, "Machine Learning"):
-        sample = durable(model_sample(clean(raw), settings))
+        sample = durable(model_sample(clean(keyed), settings))
         n = sample_counts(sample).first()
         emit(f"--> Sample: {n.sampled:,} | Skipped: {n.skipped:,} | Train: {n.train:,} | Test: {n.test:,}")
         if n.train:

@@ -32,6 +32,11 @@ NEEDED_COLUMNS = (
     "DISTANCE", "FL_DATE",
 )
 
+# What tells one flight from another in the source file.
+FLIGHT_KEY = (
+    "FL_DATE", "OP_UNIQUE_CARRIER", "OP_CARRIER_FL_NUM", "ORIGIN", "DEST", "CRS_DEP_TIME",
+)
+
 # A record lacking any of these is not analysed.
 REQUIRED_COLUMNS = ("ARR_DELAY", "DEP_DELAY", "OP_UNIQUE_CARRIER", "ORIGIN", "DEST")
 

@@ -129,3 +129,34 @@ def test_top_feature(spark):
 def test_evaluate_nothing(spark):
     none = spark.createDataFrame([], "IS_DELAYED double, prediction double")
     assert [tuple(r) for r in model.evaluate(none).collect()] == [("accuracy", None)]
+
+
+def test_tally_trains_the_same_tree(planted):
+    """Noise on top of the rule makes a deep tree; rows and tally must agree on it."""
+    noisy = planted.withColumn(
+        "ARR_DELAY", F.when(F.pmod(F.xxhash64("FL_DATE", "DISTANCE", "OP_UNIQUE_CARRIER"), F.lit(5)) == 0, 40.0)
+        .otherwise(F.col("ARR_DELAY"))
+    )
+    rows = model.ml_input(noisy)
+    counted = model.tally(rows)
+    assert counted.count() < rows.count() == counted.agg(F.sum("flights")).first()[0]
+    trees = [model.train(rows), model.train(counted, weight="flights")]
+    texts = ["\n".join(t.stages[-1].toDebugString.splitlines()[1:]) for t in trees]
+    assert trees[0].stages[0].labels == trees[1].stages[0].labels
+    assert texts[0] == texts[1] and texts[0].count("If") > 50
+    by_row = model.evaluate(model.score(trees[0], rows)).first().value
+    by_tally = model.evaluate(model.score(trees[1], counted, "flights"), "flights").first().value
+    assert by_row == pytest.approx(by_tally)
+
+
+def test_tally_counts_rows_without_a_month(cleaned):
+    counted = model.tally(model.ml_input(cleaned))
+    assert counted.agg(F.sum("flights")).first()[0] == 7
+    assert counted.filter("FL_DATE IS NULL").count() == 1
+
+
+def test_weighted_carrier_index(spark):
+    df = spark.createDataFrame(
+        [("a", 1), ("b", 5), ("c", 2), ("c", 3), (None, 9)], "OP_UNIQUE_CARRIER string, flights bigint"
+    )
+    assert model.fit_carrier_index(df, "flights").labels == ["b", "c", "a"]

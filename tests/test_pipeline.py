@@ -145,3 +145,14 @@ def test_empty_file(spark, tmp_path):
     document = read_document(tmp_path / "doc")
     assert set(document["analysis"]["delay_causes"].values()) == {None}
     assert document["machine_learning"] == {"accuracy": None, "feature_importance": []}
+
+
+def test_random_draws(driver_flights):
+    settings = pipeline.Settings(sample_fraction=0.5, random_draws=True)
+    n = pipeline.sample_counts(durable(pipeline.model_sample(clean(driver_flights), settings))).first()
+    assert abs(n.sampled - 0.5 * 5679) < 200 and abs(n.train - 0.7 * n.sampled) < 150
+
+
+def test_sample_goes_by_flight_where_flights_are_known(edge, driver_flights):
+    assert "OP_CARRIER_FL_NUM" in pipeline.sample_keys(edge)
+    assert pipeline.sample_keys(driver_flights) == driver_flights.columns

@@ -5,7 +5,7 @@ import re
 import pytest
 
 import __spark_entry__ as entry_points
-from punctuality.operators import delays
+from punctuality.operators import delays, sampling
 from punctuality.operators.clean import clean, prune
 from punctuality.plans import pipeline
 from punctuality.plans import rollup as rolled
@@ -72,8 +72,15 @@ def test_log_status_is_one_hash_aggregation(spark):
 
 
 def test_sample_and_split_do_not_shuffle(landed):
+    cleaned = clean(prune(landed))
+    for df in (sampling.sample_by_key(cleaned), *sampling.split_by_key(cleaned)):
+        assert "Exchange" not in plan(df) and "Sort" not in plan(df)
+
+
+def test_model_sample_combines_before_one_shuffle(landed):
     text = plan(pipeline.model_sample(clean(prune(landed))))
-    assert "Exchange" not in text and "Sort" not in text
+    assert text.count("Exchange") == 1 and text.count("HashAggregate") == 2
+    assert text.index("HashAggregate") < text.index("Exchange") < text.rindex("HashAggregate")
     assert "EqualTo(CANCELLED,0.0)" in text
 
 
