@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import sys
+import uuid
 from collections.abc import Callable
 from functools import partial
 
@@ -12,16 +13,18 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from driver_tables import MIN_FLIGHTS, flights, log_table  # noqa: E402
+from driver_tables import MIN_FLIGHTS, flights, log_stream, log_table  # noqa: E402
 from oracle_queries import ORACLES  # noqa: E402
 from punctuality.functions import present  # noqa: E402
 from punctuality.operators import counts, delays, model, run_log, sampling  # noqa: E402
 from punctuality.operators.clean import clean, is_flown, prune  # noqa: E402
 from punctuality.plans import pipeline  # noqa: E402
 from punctuality.plans import rollup as rolled  # noqa: E402
+from punctuality.plans.durable import checkpoint_folder, durable  # noqa: E402
 from punctuality.schema import NEEDED_COLUMNS  # noqa: E402
 from punctuality.sources.flights import preview  # noqa: E402
 from punctuality.sources.results import result_document  # noqa: E402
+from punctuality.streaming.live_log import keep_status, latest_status  # noqa: E402
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -67,11 +70,9 @@ def stage_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def split_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = keyed_flights(spark, sf_dir)
-    train_rows, test_rows = sampling.split_by_key(df, keys=ROW_KEY, portable=True)
-    return train_rows.withColumn("side", F.lit("train")).unionByName(
-        test_rows.withColumn("side", F.lit("test"))
-    )
+    """Both sides of the split in one pass."""
+    side = F.when(sampling.split_number(ROW_KEY, portable=True) == 0, "train").otherwise("test")
+    return keyed_flights(spark, sf_dir).withColumn("side", side)
 
 
 def split_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -97,7 +98,7 @@ def clean_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def learned(spark: SparkSession, sf_dir: str):
     """The model's sample and what was learned from it."""
-    sample = pipeline.durable(pipeline.model_sample(keyed_flights(spark, sf_dir), SETTINGS))
+    sample = durable(pipeline.model_sample(keyed_flights(spark, sf_dir), SETTINGS))
     return sample, pipeline.learn(sample, SETTINGS)
 
 
@@ -111,7 +112,7 @@ def delay_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dashboard_document(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rollup = pipeline.durable(rollup_of(spark, sf_dir))
+    rollup = durable(rollup_of(spark, sf_dir))
     part = rolled.cleaned(rollup)
     _, (_, accuracy, importance) = learned(spark, sf_dir)
     return result_document(
@@ -123,6 +124,14 @@ def dashboard_document(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def live_step_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log taken in as a stream up to its present end."""
+    folder = f"{checkpoint_folder(spark)}/live-{uuid.uuid4().hex}"
+    lines = run_log.log_lines(log_stream(spark, sf_dir))
+    keep_status(lines, f"{folder}/status", f"{folder}/state").awaitTermination()
+    return latest_status(spark, f"{folder}/status")
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Average arrival delay by month over the smallest data set."""
     return delays.monthly_delays(clean_flights(spark, SMOKE_DIR))
@@ -195,6 +204,7 @@ def queries() -> dict[str, Query]:
         "log_line_classes": over(log_of, run_log.classify),
         "log_step_status": over(log_of, run_log.step_status),
         "log_current_step": over(log_of, run_log.step_status, run_log.current_step),
+        "live_step_status": live_step_status,
         # Result document
         "dashboard_document": dashboard_document,
     }

@@ -12,7 +12,7 @@ MIN_FLIGHTS = 200
 
 _FLIGHT_COLUMNS = """
     l_orderkey * 10 + l_linenumber AS flight_id,
-    {date_text} AS FL_DATE,
+    CAST(CAST(l_shipdate AS DATE) AS {text}) AS FL_DATE,
     'C' || (l_suppkey % 17) AS OP_UNIQUE_CARRIER,
     CASE WHEN l_partkey % 10 = 0 THEN 'R' || (l_partkey % 400) ELSE 'H' || (l_partkey % 15) END AS ORIGIN,
     CASE WHEN l_partkey % 10 = 0 THEN 'Rural ' || (l_partkey % 400)
@@ -56,24 +56,37 @@ _LOG_LINE = """
 
 def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The flights table over ``lineitem``."""
-    spark.read.parquet(f"{sf_dir}/lineitem.parquet").createOrReplaceTempView("flights_lineitem")
-    columns = _FLIGHT_COLUMNS.format(date_text="date_format(l_shipdate, 'yyyy-MM-dd')")
-    return spark.sql(f"SELECT {columns} FROM flights_lineitem")
+    lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    columns = _FLIGHT_COLUMNS.format(text="STRING")
+    return spark.sql(f"SELECT {columns} FROM {{lineitem}}", lineitem=lineitem)
 
 
-def log_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Unfiltered log lines over ``events``, one run per user."""
+def _log_columns(events: DataFrame) -> DataFrame:
     line = _LOG_LINE.format(
         k="(event_id div 16 % 5 + 1)", wide="(event_id div 16 % 8)", v="CAST(value AS STRING)"
     )
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
     return events.selectExpr(
         "'run-' || user_id AS run_id", "event_id AS line_no", f"{line} AS line"
     )
 
 
+def log_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unfiltered log lines over ``events``, one run per user."""
+    return _log_columns(spark.read.parquet(f"{sf_dir}/events.parquet"))
+
+
+def log_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """:func:`log_table` as a stream.
+
+    A file stream takes a folder or a pattern but no single file, and the table may be
+    either; the pattern matches that one name.
+    """
+    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
+    return _log_columns(spark.readStream.schema(schema).parquet(f"{sf_dir}/[e]vents.parquet"))
+
+
 FLIGHTS_SQL = "SELECT {} FROM lineitem".format(
-    _FLIGHT_COLUMNS.format(date_text="strftime(l_shipdate, '%Y-%m-%d')")
+    _FLIGHT_COLUMNS.format(text="VARCHAR")
 )
 
 LOG_SQL = "SELECT 'run-' || user_id AS run_id, event_id AS line_no, {} AS line FROM events".format(

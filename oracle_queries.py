@@ -239,3 +239,4 @@ for _name in ("causes", "top_origin_delays", "monthly_delays"):
 ORACLES["rollup_counts"] = f"""{_CLEAN}
     SELECT 'raw' AS stage, count(*) AS n FROM flights UNION ALL SELECT 'clean', count(*) FROM clean"""
 ORACLES["rollup_label_counts"] = ORACLES["delay_label_counts"]
+ORACLES["live_step_status"] = ORACLES["log_step_status"]

@@ -180,7 +180,8 @@ def run(
         for row in preview(flights).toJSON().collect():
             emit(f"  {row}")
         raw = prune(flights)
-        keyed = prune(flights, tuple(dict.fromkeys((*NEEDED_COLUMNS, *FLIGHT_KEY))))
+        keys = settings.sample_keys or FLIGHT_KEY
+        keyed = prune(flights, tuple(dict.fromkeys((*NEEDED_COLUMNS, *keys))))
 
     with log.step(3, "Cleaning"):
         rollup = durable(rolled.delay_rollup(raw, late_minutes=settings.late_minutes))

@@ -8,8 +8,9 @@ state is one row per run.
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
-from punctuality.operators.run_log import log_lines
+from punctuality.operators.run_log import log_lines, step_status
 
 RUN_FOLDER = r"([^/]+)/[^/]+$"
 
@@ -36,3 +37,34 @@ def follow_run_log(
         "run_id", F.struct("arrived", "file", "position").alias("line_no"), "line"
     )
     return log_lines(lines)
+
+
+def keep_status(
+    lines: DataFrame, path: str, checkpoint: str, every: str | None = None
+) -> StreamingQuery:
+    """Keep the step status of all runs of a line stream as a table below ``path``.
+
+    Each refresh writes the whole status to a folder of its own, so a reader never sees
+    half of one, and a batch that is replayed after a failure replaces its own folder.
+    Without ``every`` the query takes in what has arrived and ends.
+    """
+
+    def write(status: DataFrame, refresh: int) -> None:
+        status.write.mode("overwrite").parquet(f"{path}/refresh={refresh}")
+
+    trigger = {"processingTime": every} if every else {"availableNow": True}
+    return (
+        step_status(lines)
+        .writeStream.outputMode("complete")
+        .option("checkpointLocation", checkpoint)
+        .trigger(**trigger)
+        .foreachBatch(write)
+        .start()
+    )
+
+
+def latest_status(spark: SparkSession, path: str) -> DataFrame:
+    """The newest complete refresh written by :func:`keep_status`."""
+    table = spark.read.parquet(path)
+    newest = table.select(F.max("refresh").alias("refresh")).scalar()
+    return table.filter(F.col("refresh") == newest).drop("refresh")

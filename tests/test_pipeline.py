@@ -156,3 +156,11 @@ def test_random_draws(driver_flights):
 def test_sample_goes_by_flight_where_flights_are_known(edge, driver_flights):
     assert "OP_CARRIER_FL_NUM" in pipeline.sample_keys(edge)
     assert pipeline.sample_keys(driver_flights) == driver_flights.columns
+
+
+def test_sample_keys_survive_pruning(spark, driver_flights):
+    settings = pipeline.Settings(sample_keys=("flight_id", "DEST"), sample_fraction=0.5)
+    lines = []
+    pipeline.run(spark, [], settings=settings, emit=lines.append, flights=driver_flights)
+    expected = pipeline.sample_counts(pipeline.model_sample(clean(driver_flights), settings)).first()
+    assert any(f"--> Sample: {expected.sampled:,} " in line for line in lines)

@@ -91,7 +91,7 @@ def test_share_needs_no_join(landed):
 
 FITTING = {
     "carrier_index", "delay_model", "delay_predictions", "feature_importance", "model_accuracy",
-    "top_feature", "ml_features", "dashboard_document",
+    "top_feature", "ml_features", "dashboard_document", "live_step_status",
 }
 
 

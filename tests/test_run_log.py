@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from punctuality.operators import run_log
 from punctuality.sources.run_log import read_run_log
-from punctuality.streaming.live_log import follow_run_log
+from punctuality.streaming.live_log import follow_run_log, keep_status, latest_status
 
 LOG = """\
 [PHASE 1] Starting
@@ -171,3 +171,15 @@ def test_line_operators_on_a_stream(spark, tmp_path):
     query.awaitTermination(120)
     counts = spark.table("classes").groupBy("line_class").agg(F.count("*").alias("n")).collect()
     assert {r.line_class: r.n for r in counts}["plain"] == 3 and sum(r.n for r in counts) == 13
+
+
+def test_status_table_of_a_stream(spark, tmp_path):
+    feed, out, state = tmp_path / "feed", str(tmp_path / "out"), str(tmp_path / "state")
+    (feed / "r1").mkdir(parents=True)
+    half = LOG.index("--- 3.1")
+    for n, text in enumerate((LOG[:half], LOG[half:])):
+        (feed / "r1" / f"chunk-{n}.log").write_text(text)
+        keep_status(follow_run_log(spark, str(feed)), out, state).awaitTermination(120)
+        found = status_of(latest_status(spark, out))
+        assert found[2][0] == ("process" if n == 0 else "finish")
+    assert found == STATUS

@@ -89,6 +89,25 @@ def test_landing_round_trip(spark, edge, tmp_path):
         land(edge, target)
 
 
-def test_landing_rebalances(edge):
-    plan = edge.hint("rebalance", "FL_DATE")._jdf.queryExecution().executedPlan().toString()
-    assert "REBALANCE_PARTITIONS_BY_COL" in plan
+def test_landing_without_shuffle(spark, edge, tmp_path):
+    for rebalance in (True, False):
+        land(edge, str(tmp_path / str(rebalance)), rebalance=rebalance)
+    counts = [read_landed(spark, str(tmp_path / str(r))).groupBy("FL_YEAR").count() for r in (True, False)]
+    assert sorted(map(str, counts[0].collect())) == sorted(map(str, counts[1].collect()))
+
+
+def test_landing_splits_a_hot_year(spark, tmp_path):
+    """A year that holds nearly all rows is written by several tasks."""
+    rows = spark.range(0, 200_000, 1, 8).selectExpr(
+        "CASE WHEN id % 100 = 0 THEN '2018-05-05' ELSE '2019-05-05' END AS FL_DATE", "uuid() AS note"
+    )
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(name, "1m")
+    try:
+        land(rows, str(tmp_path / "hot"))
+    finally:
+        spark.conf.unset(name)
+    files = {f: os.listdir(tmp_path / "hot" / f) for f in os.listdir(tmp_path / "hot") if "=" in f}
+    parts = {f: sum(n.endswith(".parquet") for n in names) for f, names in files.items()}
+    assert parts["FL_YEAR=2019"] > 3 and parts["FL_YEAR=2018"] == 1
+    assert read_landed(spark, str(tmp_path / "hot")).count() == 200_000
