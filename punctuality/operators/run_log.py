@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # The text patterns of the log.
+TIMING_MARK = "--> [Time] Step "
 TIMING = r"--> \[Time\] Step (\d) \(.*?\) took: ([\d.]+)s"
 PHASE = r"\[PHASE ([1-5])\]"
 NOT_BLANK = r"[^\s\x0B\p{Zs}\x{FEFF}\x{2028}\x{2029}]"
@@ -40,14 +41,20 @@ def log_lines(lines: DataFrame, line: str = "line") -> DataFrame:
     return lines.filter(text.rlike(NOT_BLANK) & ~progress_bar)
 
 
+def _timing(line: str, group: int) -> Column:
+    """A group of the timing pattern, which is only tried on lines that bear its mark."""
+    found = F.regexp_extract(line, TIMING, group)
+    return F.when(F.col(line).contains(TIMING_MARK), F.nullif(found, F.lit("")))
+
+
 def timed_step(line: str = "line") -> Column:
     """Step number of a timing line, else NULL."""
-    return F.nullif(F.regexp_extract(line, TIMING, 1), F.lit("")).cast("int")
+    return _timing(line, 1).cast("int")
 
 
 def timed_seconds(line: str = "line") -> Column:
     """Seconds of a timing line; NULL on other lines and for malformed numbers."""
-    return F.regexp_extract(line, TIMING, 2).try_cast("double")
+    return _timing(line, 2).try_cast("double")
 
 
 def phase_of(line: str = "line") -> Column:
@@ -69,14 +76,14 @@ def line_class(line: str = "line") -> Column:
 
 def step_timings(lines: DataFrame) -> DataFrame:
     """``(run_id, line_no, step, seconds)``, one row per timing line."""
-    return lines.filter(F.col("line").rlike(TIMING)).select(
+    return lines.filter(timed_step().isNotNull()).select(
         "run_id", "line_no", timed_step().alias("step"), timed_seconds().alias("seconds")
     )
 
 
 def phases(lines: DataFrame) -> DataFrame:
     """``(run_id, line_no, phase)``, one row per line with a phase marker."""
-    return lines.filter(F.col("line").rlike(PHASE)).select(
+    return lines.filter(phase_of().isNotNull()).select(
         "run_id", "line_no", phase_of().alias("phase")
     )
 

@@ -14,7 +14,7 @@ def checkpoint_folder(spark: SparkSession) -> str:
     context = spark.sparkContext
     if folder := context.getCheckpointDir():
         return folder
-    folder = context.getConf().get("spark.checkpoint.dir")
+    folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
