@@ -3,6 +3,7 @@
     python bench_csv.py make FOLDER     write the CSV once (about 3 GB)
     python bench_csv.py run FOLDER      time the pipeline on it
     python bench_csv.py land FOLDER     land it as Parquet in FOLDER-landed
+    python bench_csv.py append FOLDER   the same without the shuffle, in FOLDER-appended
     python bench_csv.py run-landed FOLDER-landed
 
 The rows are the flights derived from the driver's tables, repeated 30 times, with
@@ -15,7 +16,7 @@ import time
 
 from pyspark.sql import functions as F
 
-from bench import session
+from bench import repeated, session
 from driver_tables import flights
 from punctuality.plans import pipeline
 from punctuality.schema import FLIGHT_SCHEMA, NEEDED_COLUMNS
@@ -26,13 +27,13 @@ FILLERS = {"INT": 1234, "FLOAT": 12.0, "STRING": "text"}
 
 
 def make(spark, folder: str) -> None:
-    source = flights(spark, os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")).repartition(16)
+    source = flights(spark, os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1"))
     columns = []
     for field in FLIGHT_SCHEMA.split(","):
         name, kind = field.split()
         columns.append((F.col(name) if name in NEEDED_COLUMNS else F.lit(FILLERS[kind])).alias(name))
     columns[3] = F.col("copy").cast("string").alias("OP_CARRIER_FL_NUM")
-    rows = source.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(COPIES))))
+    rows = repeated(source, COPIES, tasks=16)
     rows.select(*columns).write.option("header", True).csv(folder)
 
 
@@ -43,6 +44,8 @@ def main(command: str, folder: str) -> None:
         make(spark, folder)
     elif command == "land":
         land(read_flights(spark, folder), f"{folder}-landed")
+    elif command == "append":
+        land(read_flights(spark, folder), f"{folder}-appended", rebalance=False)
     elif command == "run":
         pipeline.run(spark, [folder])
     elif command == "run-landed":

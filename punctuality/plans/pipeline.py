@@ -11,7 +11,7 @@ from dataclasses import dataclass, field
 from functools import partial
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from punctuality.functions import month_of, present
@@ -144,7 +144,10 @@ def sample_counts(sample: DataFrame) -> DataFrame:
     """Rows of a sample: all, those whose features are complete, and those by side."""
     usable = present(sample, model.CARRIER, model.DISTANCE) & month_of(model.DATE).isNotNull()
     first = F.col("split") == 0
-    count = lambda test: F.coalesce(F.sum(F.when(test, F.col("flights"))), F.lit(0))
+
+    def count(test: Column) -> Column:
+        return F.coalesce(F.sum(F.when(test, F.col("flights"))), F.lit(0))
+
     return sample.select(
         count(F.lit(True)).alias("sampled"),
         count(~usable).alias("skipped"),
