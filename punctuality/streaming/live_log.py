@@ -42,20 +42,21 @@ def follow_run_log(
 def keep_status(
     lines: DataFrame, path: str, checkpoint: str, every: str | None = None
 ) -> StreamingQuery:
-    """Keep the step status of all runs of a line stream as a table below ``path``.
+    """Keep the step status of the runs of a line stream as a table below ``path``.
 
-    Each refresh writes the whole status to a folder of its own, so a reader never sees
-    half of one, and a batch that is replayed after a failure replaces its own folder.
-    Without ``every`` the query takes in what has arrived and ends.
+    Each refresh appends the runs that changed, in a folder of its own: a batch that is
+    replayed after a failure replaces its folder, and the work of a refresh goes by what
+    is new, not by all runs so far. Without ``every`` the query takes in what has arrived
+    and ends.
     """
 
-    def write(status: DataFrame, refresh: int) -> None:
-        status.write.mode("overwrite").parquet(f"{path}/refresh={refresh}")
+    def write(changed: DataFrame, refresh: int) -> None:
+        changed.write.mode("overwrite").parquet(f"{path}/refresh={refresh}")
 
     trigger = {"processingTime": every} if every else {"availableNow": True}
     return (
         step_status(lines)
-        .writeStream.outputMode("complete")
+        .writeStream.outputMode("update")
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)
         .foreachBatch(write)
@@ -64,7 +65,9 @@ def keep_status(
 
 
 def latest_status(spark: SparkSession, path: str) -> DataFrame:
-    """The newest complete refresh written by :func:`keep_status`."""
-    table = spark.read.parquet(path)
-    newest = table.select(F.max("refresh").alias("refresh")).scalar()
-    return table.filter(F.col("refresh") == newest).drop("refresh")
+    """The newest status of every run in a table written by :func:`keep_status`."""
+    refreshes = spark.read.parquet(path)
+    return refreshes.groupBy("run_id", "step", "title").agg(
+        F.max_by("status", "refresh").alias("status"),
+        F.max_by("seconds", "refresh").alias("seconds"),
+    )

@@ -176,10 +176,18 @@ def test_line_operators_on_a_stream(spark, tmp_path):
 def test_status_table_of_a_stream(spark, tmp_path):
     feed, out, state = tmp_path / "feed", str(tmp_path / "out"), str(tmp_path / "state")
     (feed / "r1").mkdir(parents=True)
+    (feed / "r2").mkdir()
+    (feed / "r2" / "chunk-0.log").write_text("[PHASE 3] x\n")
     half = LOG.index("--- 3.1")
     for n, text in enumerate((LOG[:half], LOG[half:])):
         (feed / "r1" / f"chunk-{n}.log").write_text(text)
         keep_status(follow_run_log(spark, str(feed)), out, state).awaitTermination(120)
-        found = status_of(latest_status(spark, out))
-        assert found[2][0] == ("process" if n == 0 else "finish")
-    assert found == STATUS
+        found = latest_status(spark, out)
+        assert found.count() == 10
+        assert status_of(found.filter("run_id = 'r2'"))[3] == ("process", None)
+        assert status_of(found.filter("run_id = 'r1'"))[2][0] == ("process", "finish")[n]
+    assert status_of(found.filter("run_id = 'r1'")) == STATUS
+    # The second refresh holds the run that changed, and no other.
+    refreshes = spark.read.parquet(out)
+    last = refreshes.agg(F.max("refresh")).first()[0]
+    assert {r.run_id for r in refreshes.filter(F.col("refresh") == last).collect()} == {"r1"}
