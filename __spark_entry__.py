@@ -112,9 +112,11 @@ def delay_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dashboard_document(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rollup = durable(rollup_of(spark, sf_dir))
+    """All results of a staged run, from one scan."""
+    raw = prune(flights(spark, sf_dir), (*NEEDED_COLUMNS, "flight_id"))
+    rollup = durable(pipeline.refined_rollup(raw, SETTINGS))
     part = rolled.cleaned(rollup)
-    _, (_, accuracy, importance) = learned(spark, sf_dir)
+    _, accuracy, importance = pipeline.learn(durable(pipeline.sample_of(rollup)), SETTINGS)
     return result_document(
         rolled.rollup_causes(part),
         delays.top_origin_delays(rolled.rollup_origins(part), min_flights=MIN_FLIGHTS),

@@ -1,14 +1,14 @@
 """The staged run: ingest, clean, analyse, learn, publish.
 
-Two scans of the source in all: one for the rollup, which answers every count and
-every standing question, and one for the model's sample.
+The source is scanned once. The rollup of that scan answers every count and every
+standing question, and it is refined, for the rows of the model's sample only, by what
+the tree sees of a row, so that the tally to train on can be read from it as well.
 """
 
 import time
 from collections.abc import Callable, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass, field
-from functools import partial
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from punctuality.functions import month_of, present
 from punctuality.operators import delays, model, sampling
-from punctuality.operators.clean import clean, prune
+from punctuality.operators.clean import is_flown, prune
 from punctuality.plans import rollup as rolled
 from punctuality.plans.durable import durable
 from punctuality.schema import (
@@ -90,26 +90,63 @@ def sample_keys(df: DataFrame) -> Sequence[str]:
     return FLIGHT_KEY if set(FLIGHT_KEY) <= set(df.columns) else df.columns
 
 
-def model_sample(cleaned: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """Tally of the sampled model input by split number, split 0 being for training.
+def with_draws(df: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """Add to every row whether it is ``drawn`` for the model, and its ``split`` number.
 
-    Sampling, split and pre-aggregation happen in the scan stage.
+    Split 0 is for training.
     """
     if settings.random_draws:
-        sampler = partial(
-            sampling.sample_rows, fraction=settings.sample_fraction, seed=settings.seed
-        )
         first = settings.split_weights[0] / sum(settings.split_weights)
-        number = (F.rand(settings.seed) >= first).cast("int")
+        drawn = F.rand(settings.seed) < settings.sample_fraction
+        split = (F.rand(settings.seed + 1) >= first).cast("int")
     else:
-        keys = settings.sample_keys or sample_keys(cleaned)
-        sampler = partial(
-            sampling.sample_by_key,
-            fraction=settings.sample_fraction, keys=keys, seed=settings.seed,
-        )
-        number = sampling.split_number(keys, settings.split_weights, settings.seed)
-    sampled = model.ml_input(cleaned, settings.late_minutes, sampler)
-    return model.tally(sampled.withColumn("split", number), "split")
+        keys = settings.sample_keys or sample_keys(df)
+        drawn = sampling.in_sample(keys, settings.sample_fraction, settings.seed)
+        split = sampling.split_number(keys, settings.split_weights, settings.seed)
+    return df.withColumns({"drawn": drawn, "split": split})
+
+
+def model_sample(cleaned: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """Tally of the sampled model input by split number.
+
+    Sampling, split and pre-aggregation happen in the scan stage.
+    """
+    drawn = with_draws(cleaned, settings)
+    rows = model.ml_input(drawn, settings.late_minutes, lambda df: df.filter("drawn"))
+    return model.tally(rows, "split")
+
+
+def refined_rollup(raw: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """The rollup of a raw table, its rows for the model grouped by the model's inputs too.
+
+    The finer grain applies to the sample alone; all other rows fall into the few
+    groups of the plain rollup and hardly add to the shuffle.
+    """
+    drawn = with_draws(raw, settings)
+    chosen = (
+        is_flown(raw) & present(raw, model.CARRIER, model.DISTANCE, model.DATE) & F.col("drawn")
+    )
+    late = F.col("ARR_DELAY").cast("float") > settings.late_minutes
+    refine = {
+        "in_sample": chosen,
+        model.CARRIER: F.when(chosen, F.col(model.CARRIER)),
+        model.DISTANCE: F.when(chosen, F.col(model.DISTANCE).cast("float")),
+        model.LABEL: F.when(chosen, late.cast("double")),
+        "split": F.when(chosen, F.col("split")),
+    }
+    return rolled.delay_rollup(drawn, late_minutes=settings.late_minutes, refine=refine)
+
+
+def sample_of(rollup: DataFrame) -> DataFrame:
+    """:func:`model_sample` as held in a :func:`refined_rollup`."""
+    month = "Flight_Month"
+    return (
+        rollup.filter("in_sample")
+        .groupBy(model.CARRIER, model.DISTANCE, month, model.LABEL, "split")
+        .agg(F.sum("flights").alias("flights"))
+        .withColumn(model.DATE, F.make_date(F.lit(2000), F.col(month), F.lit(1)))
+        .drop(month)
+    )
 
 
 def learn(
@@ -182,12 +219,11 @@ def run(
         emit(f"[Debug] {len(flights.columns)} columns; first rows:")
         for row in preview(flights).toJSON().collect():
             emit(f"  {row}")
-        raw = prune(flights)
         keys = settings.sample_keys or FLIGHT_KEY
-        keyed = prune(flights, tuple(dict.fromkeys((*NEEDED_COLUMNS, *keys))))
+        raw = prune(flights, tuple(dict.fromkeys((*NEEDED_COLUMNS, *keys))))
 
     with log.step(3, "Cleaning"):
-        rollup = durable(rolled.delay_rollup(raw, late_minutes=settings.late_minutes))
+        rollup = durable(refined_rollup(raw, settings))
         counts = rolled.rollup_counts(rollup)
         for row in counts.collect():
             emit(f"[Task 2] {row.stage}: {row.n:,} records")
@@ -205,7 +241,7 @@ def run(
         emit("[Task 3] Analysis complete")
 
     with log.step(5, "Machine Learning"):
-        sample = durable(model_sample(clean(keyed), settings))
+        sample = durable(sample_of(rollup))
         n = sample_counts(sample).first()
         emit(f"--> Sample: {n.sampled:,} | Skipped: {n.skipped:,} | Train: {n.train:,} | Test: {n.test:,}")
         if n.train:

@@ -8,7 +8,7 @@ a hot origin sends one row per task and group to the shuffle, like any other.
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from punctuality.functions import month_of, nan_to_null
@@ -22,16 +22,20 @@ def delay_rollup(
     origin_keys: Sequence[str] = ORIGIN_KEYS,
     causes: Mapping[str, str] = CAUSES,
     late_minutes: float = LATE_MINUTES,
+    refine: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """Counts and sums of a raw flights table by origin, month and ``is_clean``.
 
     Missing cause minutes count as 0 in clean rows, as cleaning fills them.
+    ``refine`` adds grouping columns. All answers below are sums over groups, so they
+    come out the same from a refined rollup.
     """
+    refine = refine or {}
     filler = F.when(F.col("is_clean"), F.lit(0.0))
     dep, arr = nan_to_null(raw, "DEP_DELAY"), nan_to_null(raw, "ARR_DELAY")
     return (
-        raw.withColumns({"Flight_Month": month_of("FL_DATE"), "is_clean": is_flown(raw)})
-        .groupBy(*origin_keys, "Flight_Month", "is_clean")
+        raw.withColumns({"Flight_Month": month_of("FL_DATE"), "is_clean": is_flown(raw), **refine})
+        .groupBy(*origin_keys, "Flight_Month", "is_clean", *refine)
         .agg(
             F.count(F.lit(1)).alias("flights"),
             F.count(dep).alias("dep_flights"),

@@ -164,3 +164,34 @@ def test_sample_keys_survive_pruning(spark, driver_flights):
     pipeline.run(spark, [], settings=settings, emit=lines.append, flights=driver_flights)
     expected = pipeline.sample_counts(pipeline.model_sample(clean(driver_flights), settings)).first()
     assert any(f"--> Sample: {expected.sampled:,} " in line for line in lines)
+
+
+@pytest.mark.parametrize("fraction", [0.3, 1.0])
+def test_sample_within_the_rollup(driver_flights, edge, fraction):
+    """One scan yields the rows that cleaning, labelling and sampling would pick one by one."""
+    # Keys that cleaning does not touch.
+    keys = ("FL_DATE", "OP_UNIQUE_CARRIER", "ORIGIN", "ORIGIN_CITY_NAME", "DEST")
+    settings = pipeline.Settings(sample_fraction=fraction, sample_keys=keys)
+    for source in (prune(driver_flights), edge):
+        refined = pipeline.refined_rollup(source, settings)
+        expected = pipeline.model_sample(clean(source), settings)
+        found = pipeline.sample_of(refined).select(expected.columns)
+        assert sorted(map(str, found.collect())) == sorted(map(str, expected.collect()))
+        plain = rolled.delay_rollup(prune(source))
+        for answer in (rolled.rollup_counts, rolled.rollup_causes, rolled.rollup_months, rolled.rollup_labels):
+            for part in (lambda df: df, rolled.cleaned):
+                assert answer(part(refined)).collect() == answer(part(plain)).collect()
+        origins = [rolled.rollup_origins(r).orderBy(*delays.worst_order()).collect() for r in (refined, plain)]
+        assert origins[0] == origins[1]
+
+
+def test_random_draws_agree_across_columns(driver_flights):
+    """A row drawn at random is drawn for all grouping columns or for none."""
+    settings = pipeline.Settings(sample_fraction=0.3, random_draws=True)
+    rollup = durable(pipeline.refined_rollup(prune(driver_flights), settings))
+    inside, outside = rollup.filter("in_sample"), rollup.filter("NOT in_sample")
+    for name in (model.CARRIER, model.DISTANCE, model.LABEL, "split"):
+        assert inside.filter(f"{name} IS NULL").count() == 0
+        assert outside.filter(f"{name} IS NOT NULL").count() == 0
+    n = pipeline.sample_counts(pipeline.sample_of(rollup)).first()
+    assert abs(n.sampled - 0.3 * 5679) < 180

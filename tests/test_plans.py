@@ -59,7 +59,10 @@ def test_top_k_does_not_sort_everything(landed):
 
 
 def test_aggregates_combine_before_one_shuffle(landed):
-    for df in (rolled.delay_rollup(prune(landed)), delays.origin_delays(clean(prune(landed)))):
+    for df in (
+        rolled.delay_rollup(prune(landed)), pipeline.refined_rollup(landed),
+        delays.origin_delays(clean(prune(landed))),
+    ):
         text = plan(df)
         assert text.count("Exchange") == 1
         assert text.index("HashAggregate") < text.index("Exchange") < text.rindex("HashAggregate")
