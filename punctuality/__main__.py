@@ -7,7 +7,7 @@ from pyspark.sql import SparkSession
 
 from punctuality.operators import delays
 from punctuality.plans.pipeline import Settings, run
-from punctuality.schema import MIN_FLIGHTS, SAMPLE_FRACTION, TOP_K
+from punctuality.schema import MIN_FLIGHTS, SAMPLE_FRACTION, TOP_K, TREE_DEPTH
 from punctuality.session import get_session
 from punctuality.sources.flights import land, read_first_available, read_flights, read_landed
 
@@ -32,6 +32,12 @@ def main(argv: list[str] | None = None) -> None:
     full.add_argument("--output", help="folder for the JSON result document")
     full.add_argument("--min-flights", type=int, default=MIN_FLIGHTS)
     full.add_argument("--sample-fraction", type=float, default=SAMPLE_FRACTION)
+    full.add_argument("--max-depth", type=int, default=TREE_DEPTH)
+    full.add_argument("--random-draws", action="store_true", help="draw row by row, not by key")
+    full.add_argument("--categorical", action="store_true", help="treat carriers as categories")
+    full.add_argument(
+        "--index-on-whole-sample", action="store_true", help="number carriers on test rows too"
+    )
 
     raw = commands.add_parser("explore", help="show the analyses of raw records")
     raw.add_argument("path")
@@ -45,7 +51,14 @@ def main(argv: list[str] | None = None) -> None:
     began = time.perf_counter()
     spark = get_session()
     if args.command == "run":
-        settings = Settings(min_flights=args.min_flights, sample_fraction=args.sample_fraction)
+        settings = Settings(
+            min_flights=args.min_flights,
+            sample_fraction=args.sample_fraction,
+            max_depth=args.max_depth,
+            random_draws=args.random_draws,
+            categorical=args.categorical,
+            index_on_whole_sample=args.index_on_whole_sample,
+        )
         flights = read_landed(spark, args.paths[0]) if args.landed else None
         run(spark, args.paths, args.output, settings, engine_start=began, flights=flights)
     elif args.command == "explore":

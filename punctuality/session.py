@@ -11,6 +11,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.showConsoleProgress": "false",
+    # Checkpoints of results that nothing refers to any more are removed.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # HotSpot leaves longer methods to the interpreter; Spark then runs the operators of
     # such a stage one by one, which is several times faster.
     "spark.sql.codegen.hugeMethodLimit": "8000",

@@ -118,6 +118,11 @@ def test_command_line(spark, edge_path, tmp_path, capsys):
     assert "[Task 2] raw: 14 records" in out and "[Task 2] clean: 8 records" in out
     assert "FLL (Fort Lauderdale, FL): 20.5 min avg delay (2 flights)" in out
     assert read_document(tmp_path / "doc")["analysis"]["delay_causes"]["NAS_Error"] == 21.0
+    main([
+        "run", edge_path, "--sample-fraction", "1", "--random-draws", "--categorical",
+        "--index-on-whole-sample", "--max-depth", "2",
+    ])
+    assert "[Task 4] Model complete" in capsys.readouterr().out
     main(["explore", edge_path, "--min-flights", "1"])
     out = capsys.readouterr().out
     assert "Late_Aircraft_Error" in out and "Avg_Arr_Delay_Minutes" in out

@@ -5,7 +5,8 @@ import pytest
 from edge_data import EDGE_CSV, SCHEMA_NAMES, full_width
 from pyspark.sql.types import DateType, DoubleType, FloatType, IntegerType, StringType
 
-from punctuality.operators.clean import prune
+from punctuality.operators import delays
+from punctuality.operators.clean import clean, prune
 from punctuality.schema import NEEDED_COLUMNS
 from punctuality.sources.flights import (
     land, preview, read_first_available, read_flights, read_landed,
@@ -28,7 +29,10 @@ def test_inferred_schema(spark, tmp_path):
     assert types["FL_DATE"] is StringType  # one value is no date
     assert types["DEP_DELAY"] is types["CARRIER_DELAY"] is DoubleType
     path.write_text("\n".join(EDGE_CSV.splitlines()[:5]))
-    assert isinstance(read_flights(spark, str(path), infer=True).schema["FL_DATE"].dataType, DateType)
+    dated = read_flights(spark, str(path), infer=True)
+    assert isinstance(dated.schema["FL_DATE"].dataType, DateType)
+    months = delays.monthly_delays(clean(dated))
+    assert [tuple(r) for r in months.collect()] == [(1, 2, 26.0), (7, 2, 15.5)]
 
 
 def test_swapped_header_is_refused(spark, tmp_path):
