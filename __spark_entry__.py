@@ -26,6 +26,15 @@ from punctuality.sources.flights import preview  # noqa: E402
 from punctuality.sources.results import result_document  # noqa: E402
 from punctuality.streaming.live_log import keep_status, latest_status  # noqa: E402
 
+try:
+    import corpus_pipeline  # noqa: E402
+    import punctuality.llm.queries as llm_queries  # noqa: E402
+except ModuleNotFoundError as missing:
+    # The text operators are optional: without their folder the other queries work as they are.
+    if missing.name not in ("corpus_pipeline", "punctuality.llm", "punctuality.llm.queries"):
+        raise
+    corpus_pipeline = llm_queries = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 # What identifies a flight in the derived table, for samples and splits.
@@ -139,6 +148,13 @@ def entry(spark: SparkSession) -> DataFrame:
     return delays.monthly_delays(clean_flights(spark, SMOKE_DIR))
 
 
+def text_queries() -> dict[str, Query]:
+    """The queries of the text operators, if that subpackage is there."""
+    if llm_queries is None:
+        return {}
+    return {**llm_queries.QUERIES, "pipeline": corpus_pipeline.run}
+
+
 def queries() -> dict[str, Query]:
     """All registered queries; each takes ``(spark, sf_dir)``."""
     top = partial(delays.top_origin_delays, min_flights=MIN_FLIGHTS)
@@ -209,10 +225,16 @@ def queries() -> dict[str, Query]:
         "live_step_status": live_step_status,
         # Result document
         "dashboard_document": dashboard_document,
+        **text_queries(),
     }
 
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL per query. Random draws, fitted models and the document that holds
     a model's results have none."""
-    return dict(ORACLES)
+    found = dict(ORACLES)
+    if llm_queries is not None:
+        found |= llm_queries.ORACLES
+        if corpus_pipeline.ORACLE_SQL:
+            found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found
