@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from punctuality.llm import language_id, quality
+from punctuality.llm import language_id, packing, quality, secrets, token_files, topk
 from punctuality.llm.common import remainder
+from punctuality.llm.tokens import Encoder
+from punctuality.plans.durable import checkpoint_folder
+
+END = 2  # the id after each document
 
 
 def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
@@ -21,6 +28,27 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score", "n_languages")
 
 
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoder = Encoder(public_tokenizers.path("byte_bpe_50k.json"), END)
+    return packing.pack(documents(spark, sf_dir, "doc_id", "text"), encoder, "doc_id", "text", 1024)
+
+
+def op6_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), "vec_id", "embedding", k=5, every=50)
+
+
+def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.findings(documents(spark, sf_dir, "doc_id", "text"), "doc_id", "text")
+    return found.withColumnRenamed("path", "doc_id")
+
+
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{checkpoint_folder(spark)}/tokens-{uuid.uuid4().hex}"
+    encoder = Encoder(public_tokenizers.path("word_bpe_49k.json"), END)
+    token_files.write(documents(spark, sf_dir, "doc_id", "text"), encoder, "doc_id", "text", path)
+    return token_files.read(spark, path)
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir, "doc_id", "text")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
@@ -32,7 +60,64 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op5_best_fit_packing": op5_best_fit_packing,
+    "op6_exact_topk": op6_exact_topk,
+    "op7_secret_scans": op7_secret_scans,
+    "op8_token_files": op8_token_files,
     "op9_quality": op9_quality,
 }
 
-ORACLES: dict[str, str] = {}
+TOP_K_SQL = """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS x
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(
+        CAST(q.x AS DOUBLE[]), CAST(c.x AS DOUBLE[])) AS BIGINT) AS score
+    FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.x) = len(c.x)
+), ranked AS (
+    SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+    FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+
+def _secret_sql() -> str:
+    """The scan in SQL: places from the lengths of gaps and matches."""
+    parts = []
+    for i, rule in enumerate(secrets.RULES):
+        p = rule.pattern.replace("'", "''")
+        parts.append(f"""
+        SELECT doc_id, text, '{rule.kind}' AS kind, {i} AS place, unnest(range(1, len(whole) + 1)) AS i, whole, kept, gaps
+        FROM (SELECT doc_id, text, regexp_extract_all(text, '{p}') AS whole,
+                     regexp_extract_all(text, '{p}', {rule.group}) AS kept, string_split_regex(text, '{p}') AS gaps
+              FROM docs WHERE regexp_matches(text, '{p}'))""")
+    return f"""
+WITH docs AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+matches AS ({" UNION ALL ".join(parts)}),
+spans AS (
+    SELECT doc_id, kind, place, kept[i] AS kept, length(whole[i]) AS n,
+           CAST(list_sum(list_transform(gaps[1:i], lambda x: length(x)))
+                + coalesce(list_sum(list_transform(whole[1:i - 1], lambda x: length(x))), 0) AS BIGINT) AS start
+    FROM matches
+),
+good AS (SELECT *, kind || ':' || start || ':' || (start + n) AS span FROM spans
+         WHERE length(kept) >= CASE kind WHEN 'assign' THEN 8 WHEN 'access' THEN 16 ELSE 32 END),
+found AS (
+    SELECT doc_id, {", ".join(f"count(*) FILTER (kind = '{r.kind}') AS n_{r.kind}" for r in secrets.RULES)},
+           string_agg(span, ',' ORDER BY start, place) AS spans
+    FROM good GROUP BY doc_id
+)
+SELECT d.doc_id, {", ".join(f"coalesce(n_{r.kind}, 0) AS n_{r.kind}" for r in secrets.RULES)},
+       sha256(coalesce(spans, '')) AS base_sha256, coalesce(spans, '') AS spans, upper(sha256(d.text)) AS blob
+FROM docs d LEFT JOIN found f ON d.doc_id = f.doc_id
+"""
+
+
+ORACLES: dict[str, str] = {
+    "op6_exact_topk": TOP_K_SQL,
+    "op7_secret_scans": _secret_sql(),
+}
