@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from punctuality.llm import language_id, packing, quality, secrets, token_files, topk
+from punctuality.llm import language_id, packing, quality, secrets, simhash, substring, token_files, topk
 from punctuality.llm.common import remainder
 from punctuality.llm.tokens import Encoder
 from punctuality.plans.durable import checkpoint_folder
@@ -28,6 +28,14 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score", "n_languages")
 
 
+def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(documents(spark, sf_dir, "doc_id", "text"), "doc_id", "text", shingle=3, radius=3)
+
+
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.dedup(documents(spark, sf_dir, "doc_id", "text"), "doc_id", "text", window=50)
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoder = Encoder(public_tokenizers.path("byte_bpe_50k.json"), END)
     return packing.pack(documents(spark, sf_dir, "doc_id", "text"), encoder, "doc_id", "text", 1024)
@@ -60,6 +68,8 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op2_simhash_dedup": op2_simhash_dedup,
+    "op4_substring_dedup": op4_substring_dedup,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_exact_topk": op6_exact_topk,
     "op7_secret_scans": op7_secret_scans,
