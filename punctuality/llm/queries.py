@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from punctuality.llm import language_id, packing, quality, secrets, simhash, substring, token_files, topk
+from punctuality.llm import decontaminate, language_id, packing, pii, quality, secrets, simhash, substring, token_files, topk
 from punctuality.llm.common import remainder
 from punctuality.llm.tokens import Encoder
 from punctuality.plans.durable import checkpoint_folder
@@ -32,6 +32,11 @@ def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir, "doc_id", "text"), "doc_id", "text", shingle=3, radius=3)
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontaminate.leaks(documents(spark, sf_dir, "doc_id", "text"), "doc_id", "text", benchmark, "item_id", "text")
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.dedup(documents(spark, sf_dir, "doc_id", "text"), "doc_id", "text", window=50)
 
@@ -66,15 +71,22 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir, "doc_id", "text")
+    return pii.scan(docs, "text", pii.fit(docs, "doc_id", "text")).drop("text")
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_simhash_dedup": op2_simhash_dedup,
+    "op3_decontamination": op3_decontamination,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_exact_topk": op6_exact_topk,
     "op7_secret_scans": op7_secret_scans,
     "op8_token_files": op8_token_files,
     "op9_quality": op9_quality,
+    "op10_pii": op10_pii,
 }
 
 TOP_K_SQL = """
