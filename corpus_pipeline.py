@@ -8,9 +8,12 @@ from __future__ import annotations
 
 import uuid
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from punctuality.llm import language_id
+from punctuality.llm import decontaminate, language_id, packing, pii, simhash
+from punctuality.llm.tokens import Encoder
 from punctuality.plans.durable import checkpoint_folder
 
 
@@ -21,7 +24,36 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return language_id.accepted(found).select(*docs.columns)
 
 
-STAGES = [("language_id", identify_language)]
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies."""
+    return simhash.kept(docs, "doc_id", "text", shingle=3, radius=3)
+
+
+def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontaminate.clean(docs, "text", benchmark, "item_id", "text")
+
+
+def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, personal data masked in their texts."""
+    masked = pii.redact(docs, "text", pii.fit(docs, "doc_id", "text"))
+    return masked.withColumn("n_chars", F.char_length("text").cast("bigint"))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents, packed into sequences of 1024 tokens."""
+    encoder = Encoder(public_tokenizers.path("byte_bpe_50k.json"), 2)
+    return packing.pack(docs, encoder, "doc_id", "text", 1024)
+
+
+STAGES = [
+    ("language_id", identify_language),
+    ("simhash_near_dedup", drop_near_duplicates),
+    ("benchmark_decontamination", drop_benchmark_leaks),
+    ("pii", mask_personal_data),
+    ("best_fit_packing", pack),
+]
 
 # Models, fingerprints and tokens have no SQL form; tests hold each stage against brute force.
 ORACLE_SQL = None
