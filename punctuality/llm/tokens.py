@@ -23,6 +23,7 @@ SPACE = "\t-\r \x85\xa0  -     　"
 CONTROLS = re.compile("[\x1c-\x1f]")
 # Beyond this letter, character classes may differ between regex libraries and versions.
 LAST_LATIN = "ɏ"
+BEYOND_LATIN = re.compile(f"[^\x00-{LAST_LATIN}]")
 # The pattern of byte-level pre-tokenization, a fixed value of the format.
 BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 KEEP = 500_000
@@ -87,13 +88,8 @@ class Encoder:
 
     def chunk(self, chunk: str) -> bytes:
         at = self.layout
-        if not chunk.isascii():
-            if max(chunk) > LAST_LATIN:
-                return self.whole(chunk)
-            if at["lower"]:
-                chunk = self.library.normalizer.normalize_str(chunk)
-        elif at["lower"]:
-            chunk = chunk.lower()
+        if not chunk.isascii() and BEYOND_LATIN.search(chunk):
+            return self.whole(chunk)
         words = at["words"]
         # Letters alone, after a space or not, are one piece.
         pieces = [chunk] if chunk.isalpha() or chunk[1:].isalpha() and chunk[0] == " " else at["pieces"](chunk)
@@ -114,6 +110,9 @@ class Encoder:
         end = self.end_id.to_bytes(4, "little")
         if CONTROLS.search(text) or any(s in text for s in at["special"]):
             return self.whole(text) + end
+        if at["lower"]:
+            # Up to here letters are composed already, and each has its own lower case.
+            text = text.lower() if not BEYOND_LATIN.search(text) else self.library.normalizer.normalize_str(text)
         chunks, cut = at["chunks"], at["cut"](text)
         if len(chunks) > KEEP:
             chunks.clear()
