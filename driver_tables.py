@@ -1,7 +1,7 @@
 """Flights and run logs derived from the driver's tables, for Spark and for DuckDB.
 
-The tables hold no NULLs, so the expressions make some. All measures are whole
-numbers, which makes sums independent of the order of rows. Both derivations work
+The tables hold no NULLs, so the expressions make some in every column that a rule
+reads, and some dates that are none. All measures are quarters of minutes, which makes sums independent of the order of rows. Both derivations work
 row by row over the whole table.
 """
 
@@ -12,17 +12,19 @@ MIN_FLIGHTS = 200
 
 _FLIGHT_COLUMNS = """
     l_orderkey * 10 + l_linenumber AS flight_id,
-    CAST(CAST(l_shipdate AS DATE) AS {text}) AS FL_DATE,
-    'C' || (l_suppkey % 17) AS OP_UNIQUE_CARRIER,
-    CASE WHEN l_partkey % 10 = 0 THEN 'R' || (l_partkey % 400) ELSE 'H' || (l_partkey % 15) END AS ORIGIN,
-    CASE WHEN l_partkey % 10 = 0 THEN 'Rural ' || (l_partkey % 400)
+    CASE WHEN l_orderkey % 229 = 11 THEN NULL WHEN l_orderkey % 227 = 9 THEN 'bad-date'
+         ELSE CAST(CAST(l_shipdate AS DATE) AS {text}) END AS FL_DATE,
+    CASE WHEN l_orderkey % 211 <> 3 THEN 'C' || (l_suppkey % 17) END AS OP_UNIQUE_CARRIER,
+    CASE WHEN l_orderkey % 223 = 5 THEN NULL WHEN l_partkey % 10 = 0 THEN 'R' || (l_partkey % 400)
+         ELSE 'H' || (l_partkey % 15) END AS ORIGIN,
+    CASE WHEN l_orderkey % 193 = 2 THEN NULL WHEN l_partkey % 10 = 0 THEN 'Rural ' || (l_partkey % 400)
          ELSE 'Hub ' || (l_partkey % 15) END AS ORIGIN_CITY_NAME,
-    'D' || (l_suppkey % 40) AS DEST,
-    CAST(100 + l_partkey % 2400 AS DOUBLE) AS DISTANCE,
+    CASE WHEN l_orderkey % 197 <> 4 THEN 'D' || (l_suppkey % 40) END AS DEST,
+    CASE WHEN l_orderkey % 199 <> 7 THEN CAST(100 + l_partkey % 2400 AS DOUBLE) END AS DISTANCE,
     CASE WHEN l_orderkey % 997 = 1 THEN NULL WHEN l_orderkey % 50 = 0 THEN CAST(1 AS DOUBLE)
          ELSE CAST(0 AS DOUBLE) END AS CANCELLED,
     CASE WHEN l_orderkey % 61 <> 0 THEN CAST(l_quantity - 20 + l_partkey % 15 AS DOUBLE) END AS DEP_DELAY,
-    CASE WHEN l_orderkey % 53 <> 0 THEN CAST(l_quantity - 25 + month(l_shipdate) AS DOUBLE) END AS ARR_DELAY,
+    CASE WHEN l_orderkey % 53 <> 0 THEN CAST(l_quantity - 25 + month(l_shipdate) + l_partkey % 4 / 4.0 AS DOUBLE) END AS ARR_DELAY,
     CASE WHEN l_quantity >= 30 THEN CAST(l_suppkey % 7 AS DOUBLE) END AS CARRIER_DELAY,
     CASE WHEN l_quantity >= 30 THEN CAST(l_partkey % 5 AS DOUBLE) END AS WEATHER_DELAY,
     CASE WHEN l_quantity >= 30 THEN CAST(l_orderkey % 11 AS DOUBLE) END AS NAS_DELAY,

@@ -30,11 +30,11 @@ LABELLED_SQL = """
 
 def _hash(seed: int) -> str:
     text = f"concat_ws('|', '{seed}', flight_id::VARCHAR, FL_DATE, OP_UNIQUE_CARRIER, ORIGIN, DEST)"
-    return f"(('0x' || substr(md5({text}), 1, 8))::BIGINT % 1000000)"
+    return f"(('0x' || substr(md5({text}), 1, 15))::BIGINT)"
 
 
-SAMPLED = f"{_hash(42)} < 50000"
-IN_TRAIN = f"{_hash(43)} < 700000"
+SAMPLED = f"{_hash(42)} < {round(0.05 * 2**60)}"
+IN_TRAIN = f"{_hash(43)} < {round(0.7 * 2**60)}"
 HAS_FEATURES = "OP_UNIQUE_CARRIER IS NOT NULL AND DISTANCE IS NOT NULL AND FL_DATE IS NOT NULL"
 
 _FLIGHTS = f"WITH flights AS ({FLIGHTS_SQL})"
@@ -209,7 +209,8 @@ ORACLES = {
         )
         SELECT IS_DELAYED, CARRIER_INDEX, DISTANCE::DOUBLE AS DISTANCE,
             month(try_cast(FL_DATE AS DATE))::DOUBLE AS Month_Index
-        FROM ml JOIN numbered USING (OP_UNIQUE_CARRIER)""",
+        FROM ml JOIN numbered USING (OP_UNIQUE_CARRIER)
+        WHERE month(try_cast(FL_DATE AS DATE)) IS NOT NULL""",
     "log_lines": f"{_LINES} SELECT * FROM lines",
     "log_step_timings": f"""{_LINES}
         SELECT run_id, line_no, regexp_extract(line, {_TIMING}, 1)::INTEGER AS step,

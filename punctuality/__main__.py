@@ -15,11 +15,11 @@ from punctuality.sources.flights import land, read_first_available, read_flights
 def explore(spark: SparkSession, path: str, min_flights: int = MIN_FLIGHTS) -> None:
     """Print the three analyses of raw records whose schema is inferred."""
     flights = read_flights(spark, path, infer=True)
-    delays.delay_causes(flights).show()
+    delays.delay_causes(flights).show(truncate=False)
     origins = delays.origin_delays(flights)
-    delays.top_origin_delays(origins, min_flights=min_flights).show(TOP_K)
+    delays.top_origin_delays(origins, min_flights=min_flights).show(TOP_K, truncate=False)
     # Twelve months, and one row for dates that cannot be read.
-    delays.monthly_delays(flights).show(13)
+    delays.monthly_delays(flights).show(13, truncate=False)
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -28,7 +28,7 @@ def main(argv: list[str] | None = None) -> None:
 
     full = commands.add_parser("run", help="run the whole pipeline")
     full.add_argument("paths", nargs="+", help="CSV paths, tried in order")
-    full.add_argument("--landed", action="store_true", help="the path is a landed Parquet table")
+    full.add_argument("--landed", action="store_true", help="the paths are landed Parquet tables, all read")
     full.add_argument("--output", help="folder for the JSON result document")
     full.add_argument("--min-flights", type=int, default=MIN_FLIGHTS)
     full.add_argument("--sample-fraction", type=float, default=SAMPLE_FRACTION)
@@ -46,6 +46,10 @@ def main(argv: list[str] | None = None) -> None:
     landing = commands.add_parser("land", help="write CSV as Parquet by year")
     landing.add_argument("paths", nargs="+", help="CSV paths, tried in order")
     landing.add_argument("--target", required=True)
+    landing.add_argument("--mode", default="errorifexists", help="Spark's save mode")
+    landing.add_argument(
+        "--no-rebalance", action="store_true", help="input comes in order of date, no shuffle"
+    )
 
     args = parser.parse_args(argv)
     began = time.perf_counter()
@@ -59,13 +63,14 @@ def main(argv: list[str] | None = None) -> None:
             categorical=args.categorical,
             index_on_whole_sample=args.index_on_whole_sample,
         )
-        flights = read_landed(spark, args.paths[0]) if args.landed else None
+        flights = read_landed(spark, *args.paths) if args.landed else None
         run(spark, args.paths, args.output, settings, engine_start=began, flights=flights)
     elif args.command == "explore":
         explore(spark, args.path, args.min_flights)
         print(f"{time.perf_counter() - began:.2f} seconds")
     else:
-        land(read_first_available(spark, args.paths)[0], args.target)
+        flights, _ = read_first_available(spark, args.paths)
+        land(flights, args.target, mode=args.mode, rebalance=not args.no_rebalance)
 
 
 if __name__ == "__main__":

@@ -5,7 +5,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-BUCKETS = 1_000_000
+# Wide enough that no fraction in use rounds to nothing.
+BUCKETS = 1 << 60
 
 
 def row_bucket(keys: Sequence[str], seed: int, portable: bool = False) -> Column:
@@ -16,7 +17,7 @@ def row_bucket(keys: Sequence[str], seed: int, portable: bool = False) -> Column
     """
     if portable:
         text = F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys])
-        number = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
+        number = F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint")
     else:
         number = F.xxhash64(F.lit(seed), *[F.col(k) for k in keys])
     return F.pmod(number, F.lit(BUCKETS))

@@ -1,24 +1,20 @@
 """Intermediate results that outlive the executors that computed them."""
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
 
 def checkpoint_folder(spark: SparkSession) -> str:
     """The checkpoint folder of the session.
 
-    Clusters name a shared folder in ``spark.checkpoint.dir``. Only a local session
-    may do without: it gets a temporary folder.
+    Clusters name a shared folder in ``spark.checkpoint.dir``. Where that is unset, a folder
+    in the warehouse is used, which all executors share too.
     """
     context = spark.sparkContext
     if folder := context.getCheckpointDir():
         return folder
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="punctuality-checkpoint-")
+        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
     context.setCheckpointDir(folder)
     return context.getCheckpointDir()
 

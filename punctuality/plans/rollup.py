@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from punctuality.functions import month_of, nan_to_null
 from punctuality.operators.clean import is_flown
 from punctuality.operators.delays import ARR_AVERAGE, DEP_AVERAGE, worst_months
-from punctuality.schema import CAUSES, LATE_MINUTES, ORIGIN_KEYS
+from punctuality.schema import CAUSES, FLOAT_MEASURES, LATE_MINUTES, ORIGIN_KEYS
 
 
 def delay_rollup(
@@ -26,13 +26,21 @@ def delay_rollup(
 ) -> DataFrame:
     """Counts and sums of a raw flights table by origin, month and ``is_clean``.
 
-    Missing cause minutes count as 0 in clean rows, as cleaning fills them.
+    Clean rows count with the values that cleaning gives them: missing cause minutes are
+    0, and measures have the width of a float.
     ``refine`` adds grouping columns. All answers below are sums over groups, so they
     come out the same from a refined rollup.
     """
     refine = refine or {}
     filler = F.when(F.col("is_clean"), F.lit(0.0))
-    dep, arr = nan_to_null(raw, "DEP_DELAY"), nan_to_null(raw, "ARR_DELAY")
+
+    def minutes(name: str) -> Column:
+        value = nan_to_null(raw, name).cast("double")
+        if name not in FLOAT_MEASURES:
+            return value
+        return F.when(F.col("is_clean"), value.cast("float").cast("double")).otherwise(value)
+
+    dep, arr = minutes("DEP_DELAY"), minutes("ARR_DELAY")
     return (
         raw.withColumns({"Flight_Month": month_of("FL_DATE"), "is_clean": is_flown(raw), **refine})
         .groupBy(*origin_keys, "Flight_Month", "is_clean", *refine)
@@ -44,7 +52,7 @@ def delay_rollup(
             F.sum(arr).alias("arr_minutes"),
             F.count_if(arr > late_minutes).alias("late_flights"),
             *[
-                F.sum(F.coalesce(nan_to_null(raw, c), filler)).alias(name)
+                F.sum(F.coalesce(minutes(c), filler)).alias(name)
                 for c, name in causes.items()
             ],
         )

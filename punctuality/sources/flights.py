@@ -35,19 +35,19 @@ def read_first_available(
 ) -> tuple[DataFrame, str]:
     """Read the first path that yields a readable table; return it with its path.
 
-    A path fails if it cannot be opened or its first row cannot be read. Each
-    failure is logged with its cause, and the last one is raised if no path is left.
+    A path fails if it cannot be opened or its first row cannot be read with all its
+    columns, so that a wrong header counts as a failure. Each failure is logged with its cause, and the last one is raised if no path is left.
     """
     if not paths:
         raise ValueError("no path given")
     for position, path in enumerate(paths, 1):
         try:
             df = read_flights(spark, path, **options)
-            df.isEmpty()
+            df.head(1)
         except Exception as cause:
             if position == len(paths):
                 raise
-            log.warning("cannot read %s: %s", path, str(cause)[:200])
+            log.warning("cannot read %s: %s", path, cause)
         else:
             return df, path
 
@@ -77,6 +77,6 @@ def land(
     dated.write.mode(mode).partitionBy("FL_YEAR").parquet(path)
 
 
-def read_landed(spark: SparkSession, path: str) -> DataFrame:
-    """Read a table written by :func:`land`."""
-    return spark.read.parquet(path)
+def read_landed(spark: SparkSession, *paths: str) -> DataFrame:
+    """Read all tables written by :func:`land` under ``paths`` as one."""
+    return spark.read.parquet(*paths)
