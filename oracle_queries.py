@@ -166,7 +166,7 @@ ORACLES = {
             Avg_Arr_Delay_Minutes
         FROM ({_MONTHS.format(table='clean')})""",
     "monthly_delays_text": f"""{_CLEAN}
-        SELECT Flight_Month, 'Month ' || Flight_Month || ': ' || Avg_Arr_Delay_Minutes::VARCHAR
+        SELECT Flight_Month, 'Month ' || coalesce(Flight_Month::VARCHAR, 'None') || ': ' || Avg_Arr_Delay_Minutes::VARCHAR
             || ' min avg delay (' || {_thousands('Total_Flights')} || ' flights)' AS line
         FROM ({_MONTHS.format(table='clean')})""",
     "delay_rollup": f"""{_FLIGHTS}, marked AS (

@@ -89,8 +89,10 @@ def test_sample_has_one_row_per_flight(driver_flights):
     settings = pipeline.Settings(sample_fraction=1.0)
     sample = pipeline.model_sample(clean(prune(driver_flights)), settings)
     n = pipeline.sample_counts(sample).first()
-    assert n.sampled == model.ml_input(clean(driver_flights)).count()
-    assert n.train + n.test + n.skipped == n.sampled and n.skipped == 0
+    rows = model.ml_input(clean(driver_flights))
+    assert n.sampled == rows.count()
+    assert n.train + n.test + n.skipped == n.sampled
+    assert n.skipped == rows.filter("FL_DATE = 'bad-date'").count() > 0
     assert abs(n.train - 0.7 * n.sampled) < 250
 
 

@@ -98,7 +98,7 @@ FITTING = {
 }
 
 
-@pytest.mark.parametrize("name", sorted(set(entry_points.queries()) - FITTING))
+@pytest.mark.parametrize("name", sorted(set(entry_points.queries()) - FITTING - set(entry_points.text_queries())))
 def test_no_python_and_no_cross_join(spark, name):
     text = plan(entry_points.queries()[name](spark, SF_DIR))
     for node in ("Python", "Pandas", "CartesianProduct", "BroadcastNestedLoopJoin", "LocalTableScan"):
