@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from driver_tables import MIN_FLIGHTS, flights, log_stream, log_table  # noqa: E402
+from driver_tables import MIN_FLIGHTS, flights, log_stream, log_table, planted_flights, wide_flights  # noqa: E402
 from oracle_queries import ORACLES  # noqa: E402
 from punctuality.functions import present  # noqa: E402
 from punctuality.operators import counts, delays, model, run_log, sampling  # noqa: E402
@@ -22,7 +22,7 @@ from punctuality.plans import pipeline  # noqa: E402
 from punctuality.plans import rollup as rolled  # noqa: E402
 from punctuality.plans.durable import checkpoint_folder, durable  # noqa: E402
 from punctuality.schema import NEEDED_COLUMNS  # noqa: E402
-from punctuality.sources.flights import preview  # noqa: E402
+from punctuality.sources.flights import land, preview, read_first_available, read_flights, read_landed  # noqa: E402
 from punctuality.sources.results import result_document  # noqa: E402
 from punctuality.streaming.live_log import keep_status, latest_status  # noqa: E402
 
@@ -62,7 +62,7 @@ def log_of(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 portable_sample = partial(sampling.sample_by_key, keys=ROW_KEY, portable=True)
-SETTINGS = pipeline.Settings(min_flights=MIN_FLIGHTS, sample_keys=ROW_KEY)
+SETTINGS = pipeline.Settings(min_flights=MIN_FLIGHTS, sample_keys=ROW_KEY, portable=True)
 
 
 def stage_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -113,11 +113,59 @@ def learned(spark: SparkSession, sf_dir: str):
 
 def delay_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every row of the sample that the model was not trained on, with its prediction."""
-    _, (fitted, _, _) = learned(spark, sf_dir)
-    keyed = model.ml_input(
-        keyed_flights(spark, sf_dir), sampler=partial(sampling.sample_by_key, keys=ROW_KEY)
-    )
-    return model.score(fitted, keyed.filter(sampling.split_number(ROW_KEY) > 0))
+    rows, (fitted, _, _) = learned_rows(keyed_flights(spark, sf_dir))
+    return model.score(fitted, rows.filter("split > 0"))
+
+
+def learned_rows(cleaned: DataFrame):
+    """The drawn rows, kept from one scan of the source, and what their tally teaches."""
+    drawn = pipeline.with_draws(cleaned, SETTINGS)
+    rows = durable(model.ml_input(drawn, SETTINGS.late_minutes, lambda df: df.filter("drawn")))
+    return rows, pipeline.learn(durable(model.tally(rows, "split")), SETTINGS)
+
+
+def planted(spark: SparkSession, sf_dir: str):
+    """:func:`learned_rows` over flights whose delays follow a known rule."""
+    return learned_rows(clean(prune(planted_flights(spark, sf_dir), (*NEEDED_COLUMNS, "flight_id"))))
+
+
+def planted_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, (fitted, _, _) = planted(spark, sf_dir)
+    scored = model.score(fitted, rows.filter("split > 0"), "flight_id")
+    return scored.select("flight_id", model.LABEL, "prediction")
+
+
+def csv_path(spark: SparkSession, wide: DataFrame) -> str:
+    """Where ``wide`` now lies as CSV with a header; the caller of the query removes it."""
+    path = f"{checkpoint_folder(spark)}/flights-{uuid.uuid4().hex}"
+    wide.write.csv(path, header=True)
+    return path
+
+
+def csv_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prune(read_flights(spark, csv_path(spark, wide_flights(spark, sf_dir))))
+
+
+def csv_inferred_delays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw analysis of a file whose schema is inferred and whose delays are not all numbers."""
+    path = csv_path(spark, wide_flights(spark, sf_dir, text_delays=True))
+    return delays.origin_delays(read_flights(spark, path, infer=True))
+
+
+def first_available(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole table from the last of three paths: one is missing, one has two names exchanged."""
+    wide = wide_flights(spark, sf_dir)
+    good = csv_path(spark, wide)
+    names = {"ORIGIN": "DEST", "DEST": "ORIGIN"}
+    wrong = csv_path(spark, wide.limit(1).toDF(*[names.get(c, c) for c in wide.columns]))
+    return prune(read_first_available(spark, [f"{good}-missing", wrong, good])[0])
+
+
+def landed_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One year of the flights as landed; the other years' folders are not read."""
+    path = csv_path(spark, wide_flights(spark, sf_dir))
+    land(read_flights(spark, path), f"{path}-landed")
+    return prune(read_landed(spark, f"{path}-landed").filter("FL_YEAR = 1995"))
 
 
 def dashboard_document(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -208,12 +256,22 @@ def queries() -> dict[str, Query]:
         "split_by_key": split_by_key,
         "ml_input": ml_input,
         "carrier_index": over(clean_flights, model.carrier_index),
-        "ml_features": over(ml_input, lambda df: model.ml_features(df).drop("features")),
+        "ml_features": over(ml_input, durable, lambda df: model.ml_features(df).drop("features")),
         # The model
         "delay_model": lambda s, d: model.describe_model(learned(s, d)[1][0]),
         "delay_predictions": delay_predictions,
         "model_accuracy": lambda s, d: learned(s, d)[1][1],
         "feature_importance": lambda s, d: learned(s, d)[1][2],
+        "importance_percent": lambda s, d: model.importance_percent(learned(s, d)[1][2]),
+        "sample_counts": over(keyed_flights, lambda df: pipeline.model_sample(df, SETTINGS), pipeline.sample_counts),
+        "planted_predictions": planted_predictions,
+        "planted_accuracy": lambda s, d: planted(s, d)[1][1],
+        "planted_top_feature": lambda s, d: model.top_feature(planted(s, d)[1][2]).select("feature"),
+        # Sources
+        "csv_flights": csv_flights,
+        "csv_inferred_delays": csv_inferred_delays,
+        "first_available": first_available,
+        "landed_flights": landed_flights,
         "top_feature": lambda s, d: model.top_feature(learned(s, d)[1][2]),
         # Run logs
         "log_lines": log_of,
@@ -221,6 +279,7 @@ def queries() -> dict[str, Query]:
         "log_phases": over(log_of, run_log.phases),
         "log_line_classes": over(log_of, run_log.classify),
         "log_step_status": over(log_of, run_log.step_status),
+        "log_run_outcome": over(log_of, run_log.run_outcome),
         "log_current_step": over(log_of, run_log.step_status, run_log.current_step),
         "live_step_status": live_step_status,
         # Result document

@@ -6,6 +6,10 @@ row by row over the whole table.
 """
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from punctuality.schema import FLIGHT_SCHEMA
 
 # Enough flights per origin for both the threshold and the top-k cut to matter.
 MIN_FLIGHTS = 200
@@ -41,7 +45,9 @@ _LOG_LINE = """
         WHEN 2 THEN '[ERROR] ' || event_type
         WHEN 3 THEN '--> java.lang.IllegalStateException: ' || event_type
         WHEN 4 THEN '[SUCCESS] Exported ' || event_type
-        WHEN 5 THEN '[DONE] Total ' || {v} || ' seconds'
+        WHEN 5 THEN CASE {wide} WHEN 1 THEN '[SYSTEM] Pipeline finished (Code: 0)'
+            WHEN 2 THEN '[SYSTEM] Pipeline finished (Code: ' || {k} || ')' WHEN 3 THEN '[SYSTEM ERROR] ' || event_type
+            ELSE '[DONE] Total: ' || {v} || ' seconds' END
         WHEN 6 THEN '[Task ' || {k} || '] ' || event_type
         WHEN 7 THEN '--> Training rows: ' || {v}
         WHEN 8 THEN '- Impact of [' || event_type || ']: ' || {v} || '%'
@@ -63,6 +69,31 @@ def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(f"SELECT {columns} FROM {{lineitem}}", lineitem=lineitem)
 
 
+# A rule that a shallow tree recovers exactly: late from April on, but for one carrier.
+_PLANTED_DELAY = """
+    CASE WHEN month(try_cast(FL_DATE AS DATE)) >= 4 AND OP_UNIQUE_CARRIER <> 'C3'
+         THEN CAST(30 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END
+"""
+
+
+def planted_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flights with arrival delays by the planted rule."""
+    return flights(spark, sf_dir).withColumn("ARR_DELAY", F.expr(_PLANTED_DELAY))
+
+
+def wide_flights(spark: SparkSession, sf_dir: str, text_delays: bool = False) -> DataFrame:
+    """The flights in the 49 columns of the source file; ``text_delays``: some delays are no numbers."""
+    table = flights(spark, sf_dir)
+    if text_delays:
+        delay = F.when(F.col("flight_id") % 97 == 0, "n/a").otherwise(F.col("DEP_DELAY").cast("string"))
+        table = table.withColumn("DEP_DELAY", delay)
+    known = set(table.columns)
+    return table.select(*[
+        F.col(f.name) if f.name in known else F.lit(None).cast(f.dataType).alias(f.name)
+        for f in StructType.fromDDL(FLIGHT_SCHEMA)
+    ])
+
+
 def _log_columns(events: DataFrame) -> DataFrame:
     line = _LOG_LINE.format(
         k="(event_id div 16 % 5 + 1)", wide="(event_id div 16 % 8)", v="CAST(value AS STRING)"
@@ -91,6 +122,8 @@ FLIGHTS_SQL = "SELECT {} FROM lineitem".format(
     _FLIGHT_COLUMNS.format(text="VARCHAR")
 )
 
+PLANTED_SQL = f"SELECT * REPLACE ({_PLANTED_DELAY} AS ARR_DELAY) FROM ({FLIGHTS_SQL})"
+
 LOG_SQL = "SELECT 'run-' || user_id AS run_id, event_id AS line_no, {} AS line FROM events".format(
     _LOG_LINE.format(
         k="(event_id // 16 % 5 + 1)", wide="(event_id // 16 % 8)", v="CAST(value AS VARCHAR)"

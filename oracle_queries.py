@@ -1,6 +1,6 @@
 """The registered queries in DuckDB SQL, over the driver's tables."""
 
-from driver_tables import FLIGHTS_SQL, LOG_SQL, MIN_FLIGHTS
+from driver_tables import FLIGHTS_SQL, LOG_SQL, MIN_FLIGHTS, PLANTED_SQL
 
 CLEAN_SQL = """
     SELECT ARR_DELAY::FLOAT AS ARR_DELAY, DEP_DELAY::FLOAT AS DEP_DELAY,
@@ -41,6 +41,7 @@ _FLIGHTS = f"WITH flights AS ({FLIGHTS_SQL})"
 _CLEAN = f"{_FLIGHTS}, clean AS ({CLEAN_SQL})"
 _LABELLED = f"{_CLEAN}, labelled AS ({LABELLED_SQL})"
 _ML = f"{_LABELLED}, ml AS (SELECT * FROM labelled WHERE {SAMPLED} AND {HAS_FEATURES})"
+_PLANTED = _ML.replace(FLIGHTS_SQL, PLANTED_SQL)
 _LINES = f"WITH log_table AS ({LOG_SQL}), lines AS ({LINES_SQL})"
 
 _CAUSE_SUMS = """
@@ -234,6 +235,47 @@ ORACLES = {
         SELECT run_id, coalesce(max(step) FILTER (status <> 'wait'), 1) AS step
         FROM status GROUP BY run_id""",
 }
+_CSV = """
+    SELECT CANCELLED::FLOAT AS CANCELLED, ARR_DELAY::FLOAT AS ARR_DELAY, DEP_DELAY::FLOAT AS DEP_DELAY,
+        OP_UNIQUE_CARRIER, ORIGIN, ORIGIN_CITY_NAME, DEST,
+        CARRIER_DELAY::FLOAT AS CARRIER_DELAY, WEATHER_DELAY::FLOAT AS WEATHER_DELAY,
+        NAS_DELAY::FLOAT AS NAS_DELAY, SECURITY_DELAY::FLOAT AS SECURITY_DELAY,
+        LATE_AIRCRAFT_DELAY::FLOAT AS LATE_AIRCRAFT_DELAY, DISTANCE::FLOAT AS DISTANCE, FL_DATE
+    FROM flights
+"""
+_HAS_MONTH = "month(try_cast(FL_DATE AS DATE)) IS NOT NULL"
+_FINISHED, _TOTAL = r"'\[SYSTEM\] Pipeline finished \(Code: ([^)]*)\)'", r"'\[DONE\] Total\D*([\d.]+) seconds'"
+
+ORACLES |= {
+    "csv_flights": f"{_FLIGHTS} {_CSV}",
+    "first_available": f"{_FLIGHTS} {_CSV}",
+    "landed_flights": f"{_FLIGHTS} {_CSV} WHERE year(try_cast(FL_DATE AS DATE)) = 1995",
+    "csv_inferred_delays": f"""{_FLIGHTS}, textual AS (
+            SELECT * REPLACE (CASE WHEN flight_id % 97 <> 0 THEN DEP_DELAY END AS DEP_DELAY) FROM flights
+        ) {_ORIGINS.format(table='textual')}""",
+    "sample_counts": f"""{_ML}
+        SELECT count(*) AS sampled, count(*) FILTER (NOT {_HAS_MONTH}) AS skipped,
+            count(*) FILTER ({_HAS_MONTH} AND {IN_TRAIN}) AS train,
+            count(*) FILTER ({_HAS_MONTH} AND NOT {IN_TRAIN}) AS test
+        FROM ml""",
+    # A tree that recovers the planted rule predicts the label of every row.
+    "planted_predictions": f"""{_PLANTED}
+        SELECT flight_id, IS_DELAYED, IS_DELAYED AS prediction FROM ml WHERE NOT {IN_TRAIN} AND {_HAS_MONTH}""",
+    "planted_accuracy": "SELECT 'accuracy' AS metric, 1.0::DOUBLE AS value FROM lineitem LIMIT 1",
+    "planted_top_feature": "SELECT 'MONTH' AS feature FROM lineitem LIMIT 1",
+    "log_run_outcome": f"""{_LINES}, ends AS (
+            SELECT run_id, regexp_extract(line, {_FINISHED}, 1) = '0' AND NOT contains(line, '[SYSTEM ERROR]') AS good
+            FROM lines WHERE regexp_matches(line, {_FINISHED}) OR contains(line, '[SYSTEM ERROR]')
+            QUALIFY row_number() OVER (PARTITION BY run_id ORDER BY line_no DESC) = 1
+        ), totals AS (
+            SELECT run_id, try_cast(regexp_extract(line, {_TOTAL}, 1) AS DOUBLE) AS total_seconds
+            FROM lines WHERE try_cast(regexp_extract(line, {_TOTAL}, 1) AS DOUBLE) IS NOT NULL
+            QUALIFY row_number() OVER (PARTITION BY run_id ORDER BY line_no DESC) = 1
+        )
+        SELECT r.run_id, CASE WHEN e.good IS NULL THEN 'running' WHEN e.good THEN 'completed' ELSE 'error' END AS outcome,
+            t.total_seconds
+        FROM (SELECT DISTINCT run_id FROM lines) r LEFT JOIN ends e USING (run_id) LEFT JOIN totals t USING (run_id)""",
+}
 for _name in ("causes", "top_origin_delays", "monthly_delays"):
     _direct = "delay_causes" if _name == "causes" else _name
     ORACLES[f"rollup_{_name}"] = ORACLES[_direct]

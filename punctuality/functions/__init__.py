@@ -2,9 +2,10 @@
 
 from punctuality.functions.dates import month_name, month_of, year_of
 from punctuality.functions.hashing import row_bucket
-from punctuality.functions.missing import nan_to_null, present
+from punctuality.functions.missing import as_numbers, nan_to_null, present
 from punctuality.functions.text import whole_number
 
 __all__ = [
-    "month_name", "month_of", "nan_to_null", "present", "row_bucket", "whole_number", "year_of",
+    "as_numbers", "month_name", "month_of", "nan_to_null", "present", "row_bucket", "whole_number",
+    "year_of",
 ]

@@ -4,13 +4,19 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType
+from pyspark.sql.types import DoubleType, FloatType, StringType
 
 
 def _is_floating(df: DataFrame, name: str) -> bool:
     return isinstance(df.schema[name].dataType, (FloatType, DoubleType))
 
 
+def as_numbers(df: DataFrame, *names: str) -> DataFrame:
+    """Measures that a schema inference took for text as numbers; other text is NULL."""
+    texts = [n for n in names if isinstance(df.schema[n].dataType, StringType)]
+    return df.withColumns({n: F.col(n).try_cast("double") for n in texts}) if texts else df
+
+
 def nan_to_null(df: DataFrame, name: str) -> Column:
     """The column, with NaN read as NULL so that sums and averages skip it."""
     column = F.col(name)

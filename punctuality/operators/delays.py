@@ -8,7 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from punctuality.functions import month_name, month_of, nan_to_null, present, whole_number
+from punctuality.functions import as_numbers, month_name, month_of, nan_to_null, present, whole_number
 from punctuality.schema import CAUSE_LABELS, CAUSES, MIN_FLIGHTS, ORIGIN_KEYS, TOP_K
 
 DEP_AVERAGE = "Avg_Dep_Delay_Minutes"
@@ -20,6 +20,7 @@ ARR_AVERAGE = "Avg_Arr_Delay_Minutes"
 
 def delay_causes(df: DataFrame, causes: Mapping[str, str] = CAUSES) -> DataFrame:
     """Total minutes per cause, in one row. Over no rows the totals are NULL."""
+    df = as_numbers(df, *causes)
     return df.select(*[F.sum(nan_to_null(df, c)).alias(name) for c, name in causes.items()])
 
 
@@ -52,6 +53,7 @@ def origin_delays(
     df: DataFrame, keys: Sequence[str] = ORIGIN_KEYS, delay: str = "DEP_DELAY"
 ) -> DataFrame:
     """Flights and average departure delay per origin."""
+    df = as_numbers(df, delay)
     return (
         df.filter(present(df, delay))
         .groupBy(*keys)
@@ -98,6 +100,7 @@ def origin_delays_text(origins: DataFrame) -> DataFrame:
 
 def monthly_delays(df: DataFrame, date: str = "FL_DATE", delay: str = "ARR_DELAY") -> DataFrame:
     """Flights and average arrival delay per month, worst first. No date: month NULL."""
+    df = as_numbers(df, delay)
     months = (
         df.filter(present(df, delay))
         .withColumn("Flight_Month", month_of(date))

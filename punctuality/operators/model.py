@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier
 from pyspark.ml.feature import SQLTransformer, StringIndexer, StringIndexerModel, VectorAssembler
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from punctuality.functions import month_of, present
@@ -42,8 +42,9 @@ def ml_input(
 def tally(rows: DataFrame, *also: str, weight: str = "flights") -> DataFrame:
     """Model rows that agree in carrier, distance, month, label and ``also`` as one row.
 
-    The tree sees nothing else of a row, so training on the tally with ``weight`` equals
-    training on the rows. However many rows there are, their tally is no larger than
+    The tree sees nothing else of a row, so training on the tally with ``weight`` is
+    training on the rows, as long as there are fewer combinations than MLlib samples for its
+    split candidates (about 10,000); beyond, both fits draw candidates and may differ. However many rows there are, their tally is no larger than
     the number of such combinations, and the many passes of the fit run over that.
     A date stands for its month; ``weight`` counts the rows.
     """
@@ -77,11 +78,14 @@ def fit_carrier_index(df: DataFrame, weight: str | None = None) -> StringIndexer
     )
 
 
-def carrier_index(df: DataFrame, indexer: StringIndexerModel | None = None) -> DataFrame:
-    """The carrier numbering as a table ``(OP_UNIQUE_CARRIER, CARRIER_INDEX)``."""
-    labels = (indexer or fit_carrier_index(df)).labels
-    rows = [(label, float(i)) for i, label in enumerate(labels)]
-    return df.sparkSession.createDataFrame(rows, f"{CARRIER} string, CARRIER_INDEX double")
+def carrier_index(df: DataFrame) -> DataFrame:
+    """The carrier numbering as a table ``(OP_UNIQUE_CARRIER, CARRIER_INDEX)``.
+
+    Only the counts of the distinct carriers are ordered as a whole.
+    """
+    sizes = df.dropna(subset=[CARRIER]).groupBy(CARRIER).agg(F.count(F.lit(1)).alias("n"))
+    place = F.row_number().over(Window.orderBy(F.desc("n"), CARRIER)) - 1
+    return sizes.select(CARRIER, place.cast("double").alias("CARRIER_INDEX"))
 
 
 def feature_stages(indexer: StringIndexerModel, categorical: bool = False) -> list:
@@ -167,6 +171,11 @@ def feature_importance(model: PipelineModel) -> DataFrame:
     return SparkSession.active().createDataFrame(rows, "position int, feature string, impact double")
 
 
+def importance_percent(importance: DataFrame) -> DataFrame:
+    """The importances to two decimals, as reports show them."""
+    return importance.withColumn("impact", F.round("impact", 2))
+
+
 def top_feature(importance: DataFrame) -> DataFrame:
     """The most important feature; of equals, the last."""
     return importance.orderBy(F.desc("impact"), F.desc("position")).limit(1)

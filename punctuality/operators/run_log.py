@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 TIMING_MARK = "--> [Time] Step "
 TIMING = r"--> \[Time\] Step (\d) \(.*?\) took: ([\d.]+)s"
 PHASE = r"\[PHASE ([1-5])\]"
+FINISHED = r"\[SYSTEM\] Pipeline finished \(Code: ([^)]*)\)"
+LOST = "[SYSTEM ERROR]"
+TOTAL = r"\[DONE\] Total\D*([\d.]+) seconds"
 NOT_BLANK = r"[^\s\x0B\p{Zs}\x{FEFF}\x{2028}\x{2029}]"
 
 # The steps of a run, in order.
@@ -137,6 +140,33 @@ def current_step(status: DataFrame) -> DataFrame:
     return status.groupBy("run_id").agg(F.coalesce(reached, F.lit(1)).alias("step"))
 
 
+def run_outcome(lines: DataFrame) -> DataFrame:
+    """``(run_id, outcome, total_seconds)`` of every run.
+
+    The last line that ends a run decides: ``completed`` if it reports code 0, else ``error``;
+    a run without such a line is ``running``. ``total_seconds`` is the last total reported.
+    As in :func:`step_status`, a run is one row of last positions, pre-aggregated per task.
+    """
+    text, at = F.col("line"), F.col("line_no")
+    code = F.regexp_extract(text, FINISHED, 1)
+    ended, lost = text.rlike(FINISHED), text.contains(LOST)
+    good = ended & (code == "0") & ~lost
+    total = F.nullif(F.regexp_extract(text, TOTAL, 1), F.lit("")).try_cast("double")
+    marked = lines.select(
+        "run_id", at.alias("at"), good.alias("good"), (ended | lost).alias("end"), total.alias("total")
+    )
+    runs = marked.groupBy("run_id").agg(
+        F.max(F.when(F.col("end"), F.col("at"))).alias("ended"),
+        F.max(F.when(F.col("good"), F.col("at"))).alias("completed"),
+        F.max_by("total", F.when(F.col("total").isNotNull(), F.col("at"))).alias("total_seconds"),
+    )
+    outcome = (
+        F.when(F.col("ended").isNull(), "running")
+        .when(F.col("completed") == F.col("ended"), "completed").otherwise("error")
+    )
+    return runs.select("run_id", outcome.alias("outcome"), "total_seconds")
+
+
 def _numbers() -> range:
     return range(1, len(STEPS) + 1)
 

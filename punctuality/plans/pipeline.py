@@ -34,6 +34,7 @@ class Settings:
     The sample and the split go by a hash of ``sample_keys`` (see :func:`sample_keys`),
     so copies of a flight stay together. Where copies are many, ``random_draws`` decides
     row by row instead, at the price of a sample that changes with the file layout.
+    ``portable`` takes a hash that other engines can reproduce.
     """
 
     min_flights: int = MIN_FLIGHTS
@@ -43,6 +44,7 @@ class Settings:
     split_weights: Sequence[float] = SPLIT_WEIGHTS
     sample_keys: Sequence[str] | None = None
     random_draws: bool = False
+    portable: bool = False
     seed: int = SEED
     max_depth: int = TREE_DEPTH
     categorical: bool = False
@@ -101,8 +103,8 @@ def with_draws(df: DataFrame, settings: Settings = Settings()) -> DataFrame:
         split = (F.rand(settings.seed + 1) >= first).cast("int")
     else:
         keys = settings.sample_keys or sample_keys(df)
-        drawn = sampling.in_sample(keys, settings.sample_fraction, settings.seed)
-        split = sampling.split_number(keys, settings.split_weights, settings.seed)
+        drawn = sampling.in_sample(keys, settings.sample_fraction, settings.seed, settings.portable)
+        split = sampling.split_number(keys, settings.split_weights, settings.seed, settings.portable)
     return df.withColumns({"drawn": drawn, "split": split})
 
 

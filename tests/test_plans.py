@@ -93,8 +93,9 @@ def test_share_needs_no_join(landed):
 
 
 FITTING = {
-    "carrier_index", "delay_model", "delay_predictions", "feature_importance", "model_accuracy",
-    "top_feature", "ml_features", "dashboard_document", "live_step_status",
+    "delay_model", "delay_predictions", "feature_importance", "model_accuracy",
+    "top_feature", "dashboard_document", "live_step_status", "importance_percent",
+    "planted_predictions", "planted_accuracy", "planted_top_feature",
 }
 
 

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from driver_tables import flights
 from edge_data import full_width
-from punctuality.operators import counts, model, sampling
+from punctuality.operators import counts, delays, model, run_log, sampling
 from punctuality.operators.clean import clean, prune
 from punctuality.plans import rollup as rolled
 from punctuality.sources.flights import read_first_available, read_landed
@@ -54,3 +54,25 @@ def test_binding_reaches_every_rule(spark):
     missing = table.select([F.count_if(F.col(c).isNull()).alias(c) for c in table.columns]).first()
     assert all(missing[c] for c in table.columns if c != "flight_id")
     assert table.filter("FL_DATE = 'bad-date'").count() and table.filter("ARR_DELAY <> floor(ARR_DELAY)").count()
+
+
+def test_text_among_measures_counts_as_missing(spark):
+    rows = [("A", "a", "2019-01-05", "10"), ("A", "a", "2019-01-06", "n/a"), ("A", "a", "2019-01-07", None)]
+    raw = spark.createDataFrame(rows, "ORIGIN string, ORIGIN_CITY_NAME string, FL_DATE string, DEP_DELAY string")
+    assert [tuple(r) for r in delays.origin_delays(raw).collect()] == [("A", "a", 1, 10.0)]
+    months = delays.monthly_delays(raw.withColumnRenamed("DEP_DELAY", "ARR_DELAY"))
+    assert [tuple(r) for r in months.collect()] == [(1, 1, 10.0)]
+
+
+def test_run_outcome(spark):
+    lines = [
+        ("good", 1, "[DONE] Total: 3.5 seconds"), ("good", 2, "[SYSTEM] Pipeline finished (Code: 0)"),
+        ("bad", 1, "[SYSTEM] Pipeline finished (Code: 0)"), ("bad", 2, "[SYSTEM] Pipeline finished (Code: 137)"),
+        ("killed", 1, "[SYSTEM] Pipeline finished (Code: null)"), ("lost", 1, "[SYSTEM ERROR] Connection lost."),
+        ("open", 1, "[PHASE 1] x"),
+    ]
+    found = run_log.run_outcome(spark.createDataFrame(lines, "run_id string, line_no bigint, line string"))
+    assert {r.run_id: (r.outcome, r.total_seconds) for r in found.collect()} == {
+        "good": ("completed", 3.5), "bad": ("error", None), "killed": ("error", None),
+        "lost": ("error", None), "open": ("running", None),
+    }
