@@ -12,6 +12,8 @@ from pyspark.sql import types as T
 # Word borders of the contracts: space, tab, line feed, vertical tab, form feed, return.
 WORD = r"[^\x20\x09-\x0D]+"
 
+BATCH_BYTES, SPARKS_OWN = "8m", "67108864b"
+
 
 def remainder(key: Column, divisor: int) -> Column:
     """``crc32`` of the key as text, modulo ``divisor``; null where the key is null."""
@@ -25,6 +27,19 @@ def sampled(key: Column, bound: Column | int, total: Column | int) -> Column:
     return F.pmod(F.xxhash64(key.cast("string")), F.lit(width)) < share * width
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, in a session that hands texts to Python in batches of some megabytes.
+
+    Several copies of a batch are in memory at a time, outside the heap and in each worker, so
+    Spark's own bound of 64 MB takes most of what a small executor has. A bound that the session
+    names itself stays.
+    """
+    name, conf = "spark.sql.execution.arrow.maxBytesPerBatch", df.sparkSession.conf
+    if conf.get(name, SPARKS_OWN) == SPARKS_OWN:
+        conf.set(name, BATCH_BYTES)
+    return df
+
+
 def map_texts(
     df: DataFrame, text_col: str, fields: T.StructType, fn: Callable[[list], Iterable[tuple]]
 ) -> DataFrame:
@@ -45,7 +60,7 @@ def map_texts(
             arrays = [pa.array(v, t) for v, t in zip(made, types, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(i) for i in place] + arrays, names=names)
 
-    return df.mapInArrow(run, T.StructType([*kept, *fields.fields]))
+    return small_batches(df).mapInArrow(run, T.StructType([*kept, *fields.fields]))
 
 
 def arrow_type(kind: T.DataType) -> pa.DataType:

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from punctuality.llm.common import fields, map_texts, sampled
+from punctuality.llm.common import fields, map_texts, sampled, small_batches
 
 BUCKETS = 1 << 15  # trigrams are hashed, which bounds the model by the number of languages
 UNKNOWN = "und"
@@ -106,7 +106,7 @@ def fit(
 
     What reaches the driver is one count per language and bucket, whatever the input's size.
     """
-    rows = labelled.select(
+    rows = small_batches(labelled).select(
         F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.col(key_col).alias("key")
     ).filter("lang IS NOT NULL AND text IS NOT NULL")
     sizes = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}

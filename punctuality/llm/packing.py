@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from punctuality.llm.common import fields, rows_to_batch
+from punctuality.llm.common import fields, rows_to_batch, small_batches
 from punctuality.llm.tokens import Encoder
 from punctuality.plans.durable import durable
 
@@ -50,7 +50,7 @@ def pieces(docs: DataFrame, encoder: Encoder, key_col: str, text_col: str, size:
                     rows.append((key, i, at, n, zlib.crc32(ids[4 * at : 4 * (at + n)])))
             yield rows_to_batch(rows, schema)
 
-    return docs.select(F.col(key_col).cast("bigint"), F.col(text_col)).mapInArrow(cut, schema)
+    return small_batches(docs).select(F.col(key_col).cast("bigint"), F.col(text_col)).mapInArrow(cut, schema)
 
 
 @dataclass(frozen=True)

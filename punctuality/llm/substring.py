@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from punctuality.llm.common import fields, rows_to_batch
+from punctuality.llm.common import fields, rows_to_batch, small_batches
 from punctuality.plans.durable import durable
 
 GRAM = 8
@@ -301,7 +301,7 @@ def _digest(words: list[bytes], kept: list[bytes]) -> tuple[int, int, str]:
 def _apply(df: DataFrame, key_col: str, text_col: str, window: int, result, make) -> DataFrame:
     if window < GRAM:
         raise ValueError(f"windows have at least {GRAM} words")
-    rows = df.select(F.col(key_col).cast("bigint").alias("doc_id"), F.xxhash64(text_col).alias("mark"), F.col(text_col).alias("text"))
+    rows = small_batches(df).select(F.col(key_col).cast("bigint").alias("doc_id"), F.xxhash64(text_col).alias("mark"), F.col(text_col).alias("text"))
     spans = repeated(rows, window).groupBy("doc_id", "mark").agg(F.collect_list(F.struct("place", "count")).alias("spans"))
     schema = fields("doc_id bigint")
     for field in result:

@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from punctuality.llm.common import fields, rows_to_batch
+from punctuality.llm.common import fields, rows_to_batch, small_batches
 from punctuality.llm.tokens import Encoder
 
 SHARD = fields(
@@ -131,7 +131,7 @@ def write(
     docs: DataFrame, encoder: Encoder, key_col: str, text_col: str, path: str, shard_tokens: int = 1 << 20
 ) -> None:
     """Write all documents as shards of about ``shard_tokens`` ids under ``path``."""
-    rows = docs.select(F.col(key_col).cast("bigint").alias("key"), F.col(text_col).alias("text"))
+    rows = small_batches(docs).select(F.col(key_col).cast("bigint").alias("key"), F.col(text_col).alias("text"))
     # Texts are smaller than ids, so they are what is shuffled.
     rows = rows.repartitionByRange("key").sortWithinPartitions("key", "text")
 
@@ -181,7 +181,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
                     rows.append((row["part"], row["seq"], key, int(shard.starts[doc]), len(ids) // 4, zlib.crc32(ids)))
                 yield rows_to_batch(rows, schema)
 
-    found = spark.read.parquet(path).mapInArrow(listed, schema)
+    found = small_batches(spark.read.parquet(path)).mapInArrow(listed, schema)
     return found.join(shard_starts(spark, path), ["part", "seq"]).select(
         "doc_id", (F.col("before") + F.col("local")).alias("start"), "n_tokens", "ids_crc32"
     )
@@ -193,7 +193,7 @@ def fetch(spark: SparkSession, path: str, keys: DataFrame, key_col: str) -> Data
     Keys and shards meet by bands of keys as wide as the widest shard, so that a shard lies in two
     bands at most; only shards with a wanted key are opened.
     """
-    shards = spark.read.parquet(path)
+    shards = small_batches(spark.read.parquet(path))
     bounds = shards.select("part", "seq", "first_key", "last_key").filter("first_key IS NOT NULL")
     width = (bounds.agg(F.max(F.col("last_key") - F.col("first_key"))).first()[0] or 0) + 1
     band = lambda c: F.floor(F.col(c) / F.lit(width))
