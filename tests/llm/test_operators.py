@@ -13,6 +13,7 @@ from tokenizers import Tokenizer
 from punctuality.llm import (
     decontaminate, language_id, packing, pii, quality, secrets, simhash, substring, token_files, topk,
 )
+from punctuality.llm.common import BATCH_BYTES, small_batches
 from punctuality.llm.components import components
 from punctuality.llm.tokens import Encoder
 
@@ -415,6 +416,20 @@ def test_base_spans():
         text = "".join(rng.choice(pieces, rng.integers(1, 25)))
         assert pii.base_spans(text) == plain_spans(text), text
     assert pii.base_spans("1" * 200_000) == pii.base_spans("a" * 200_000) == []
+    assert pii.base_spans("1.2.3." + "0" * 5000 + "4") == [(1, 0, 5007)]
+    assert pii.base_spans("1.2.3." + "9" * 5000) == []
+
+
+def test_bound_of_batches_is_set_unless_the_session_has_one(spark):
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    try:
+        spark.conf.unset(name)
+        assert small_batches(spark.range(1)).count() == 1 and spark.conf.get(name) == BATCH_BYTES
+        spark.conf.set(name, "16m")
+        assert small_batches(spark.range(1)).count() == 1 and spark.conf.get(name) == "16m"
+    finally:
+        spark.conf.set(name, before)
 
 
 def test_field_adds_and_keeps(spark):
