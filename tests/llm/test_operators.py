@@ -165,6 +165,51 @@ def test_leaks(spark):
     assert decontaminate.leaks(docs_of(spark, []), "doc_id", "text", benchmark, "item_id", "text").count() == 0
 
 
+def brute_leaks(text, items):
+    """Items in a text by comparing every window with every passage."""
+    words, half, found = decontaminate.terms(text), decontaminate.HALF, set()
+    ids: dict[str, int] = {}
+    number = [ids.setdefault(w, len(ids)) for w in words]
+    for item, body in items:
+        for p in decontaminate.passages_of(item, body):
+            size = len(p.words)
+            masks, answer = ({}, {})
+            for kept, of in ((masks, p.words), (answer, p.answer)):
+                for i, w in enumerate(of):
+                    kept[ids.get(w, -1)] = kept.get(ids.get(w, -1), 0) | 1 << i
+            for h in range(max(1, -(-len(words) // half) - 1)):
+                near = number[max(0, h * half - size) : h * half + 2 * half + size]
+                share = decontaminate.common_length(masks, size, near) / size
+                told = decontaminate.common_length(answer, len(p.answer), near) / len(p.answer) if p.answer else 0
+                if share >= 0.8 or share >= 0.6 and told >= 0.8:
+                    found.add(item)
+                    break
+    return found
+
+
+def test_leaks_of_a_full_block_are_those_of_brute_force(spark):
+    rng = np.random.default_rng(21)
+    odds = 1 / np.arange(1, 20_001)
+    words = np.array([f"w{i}" for i in range(20_000)])
+
+    def drawn(n):
+        return words[rng.choice(20_000, n, p=odds / odds.sum())].tolist()
+
+    items = [(i, drawn(rng.integers(8, 40))) for i in range(1100)]
+    rows, copies = [], set()
+    for i, (item, body) in enumerate(items[::50] + items[1090:]):
+        # Exact copies, and near ones with a word more and one less, in running text.
+        body = body if i % 2 else [*body[:3], "more", *body[4:]] if len(body) > 8 else body
+        rows.append((i, " ".join([*drawn(40), *body, *drawn(60)])))
+        copies.add((i, item))
+    items = [(i, " ".join(x)) for i, x in items]
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    found = decontaminate.leaks(docs_of(spark, rows), "doc_id", "text", benchmark, "item_id", "text")
+    found = set(rows_of(found, "doc_id", "item_id"))
+    assert copies <= found
+    assert found == {(i, item) for i, text in rows for item in brute_leaks(text, items)}
+
+
 def test_common_length():
     def plain(a, b):
         row = [0] * (len(b) + 1)
