@@ -210,6 +210,20 @@ def test_leaks_of_a_full_block_are_those_of_brute_force(spark):
     assert found == {(i, item) for i, text in rows for item in brute_leaks(text, items)}
 
 
+@pytest.mark.parametrize("corpus", [2, 400])
+def test_short_copies_among_other_words(spark, corpus):
+    rng = np.random.default_rng(22)
+    plain = [f"plain{i}" for i in range(300)]
+    items = [(i, " ".join(plain[10 * i : 10 * i + 10])) for i in range(20)]
+    around = [f"other{i}" for i in range(50)]
+    rows = [(i, f"{' '.join(rng.choice(around, 45))} {text} {' '.join(rng.choice(around, 45))}") for i, text in items]
+    rest = [(1000 + i, " ".join(rng.choice(around + plain[200:], 200))) for i in range(corpus)]
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    found = decontaminate.leaks(docs_of(spark, rows + rest), "doc_id", "text", benchmark, "item_id", "text").collect()
+    assert sorted((r.doc_id, r.item_id) for r in found) == [(i, i) for i in range(20)]
+    assert all(r.cosine == pytest.approx(1, abs=1e-5) for r in found)
+
+
 def test_common_length():
     def plain(a, b):
         row = [0] * (len(b) + 1)
