@@ -1,7 +1,8 @@
 """The corpus pipeline: from raw documents to packed training sequences.
 
 Each stage takes ``(spark, docs, sf_dir)`` and returns the documents it keeps, as Parquet for the
-next one; the last returns the packed pieces.
+next one; the last returns the packed pieces with their token ids (:func:`packing.sequences` joins
+them).
 """
 
 from __future__ import annotations

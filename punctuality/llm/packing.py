@@ -5,7 +5,9 @@ one length: a sweep over the gaps, from the smallest that is large enough, match
 as it can, ranks resolve who gets which gap, the gaps are updated, and the next shorter length
 follows. Gaps of one size and documents of one length are interchangeable, so a sweep needs counts
 only. There are at most ``size`` lengths, so the plan of all steps is bounded, however many
-documents there are; ranks and placements are computed in parallel.
+documents there are; ranks and placements are computed in parallel. Pieces carry their token ids, as
+little-endian unsigned 32-bit integers, all the way; between steps they take 16 bits where that is
+enough for the vocabulary.
 
 Cases: a null text is empty and still has its end token. Repeated rows and rows without a key are
 packed like others. Texts longer than ``size`` are cut, the first piece being the shorter one. An
@@ -14,7 +16,7 @@ empty table gives no rows. Only the named columns are read.
 
 from __future__ import annotations
 
-import zlib
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -25,10 +27,11 @@ from pyspark.sql import functions as F
 
 from punctuality.llm.common import fields, rows_to_batch, small_batches
 from punctuality.llm.tokens import Encoder
-from punctuality.plans.durable import durable
+from punctuality.plans.durable import checkpoint_folder
 
 # Rows of one length are ranked in so many independent parts.
 PARTS = 256
+PACKED = ("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset", "ids")
 
 
 def piece_bounds(n: int, size: int) -> list[tuple[int, int]]:
@@ -37,17 +40,23 @@ def piece_bounds(n: int, size: int) -> list[tuple[int, int]]:
     return [(0, first), *((at, size) for at in range(first, n, size))]
 
 
+def narrow(encoder: Encoder) -> bool:
+    """Whether 16 bits are enough for each id."""
+    return max(encoder.library.get_vocab_size(), encoder.end_id + 1) <= 1 << 16
+
+
 def pieces(docs: DataFrame, encoder: Encoder, key_col: str, text_col: str, size: int) -> DataFrame:
-    """Every document's pieces: key, number, start, length and checksum of the ids."""
-    schema = fields("doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint")
+    """Every document's pieces: key, number, start, length and the ids (16 bits each if :func:`narrow`)."""
+    schema = fields("doc_id bigint, piece int, start bigint, length bigint, ids binary")
+    kind = "<u2" if narrow(encoder) else "<u4"
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                ids = encoder(text)
-                for i, (at, n) in enumerate(piece_bounds(len(ids) // 4, size)):
-                    rows.append((key, i, at, n, zlib.crc32(ids[4 * at : 4 * (at + n)])))
+                ids = np.frombuffer(encoder(text), "<u4").astype(kind)
+                for i, (at, n) in enumerate(piece_bounds(len(ids), size)):
+                    rows.append((key, i, at, n, ids[at : at + n].tobytes()))
             yield rows_to_batch(rows, schema)
 
     return small_batches(docs).select(F.col(key_col).cast("bigint"), F.col(text_col)).mapInArrow(cut, schema)
@@ -95,24 +104,25 @@ def plan(counts: dict[int, int], size: int) -> dict[int, list[Move]]:
 
 
 def place(found: DataFrame, size: int) -> DataFrame:
-    """Pieces with ``sequence_id`` and ``offset``."""
+    """Pieces with ``ids_crc32``, ``sequence_id``, ``offset`` and their ids in 32 bits."""
     found = found.withColumn("part", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(PARTS)).cast("int"))
     parts = found.groupBy("length", "part").agg(F.count(F.lit(1)).alias("n"))
     # At most ``size`` rows.
     counts = {r.length: r.n for r in parts.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     if not counts:
-        return found.drop("part").withColumns({"sequence_id": F.lit(0).cast("bigint"), "offset": F.lit(0).cast("bigint")})
+        nothing = {"ids_crc32": F.crc32("ids"), "sequence_id": F.lit(0).cast("bigint"), "offset": F.lit(0).cast("bigint")}
+        return found.withColumns(nothing).select(*PACKED)
     table = {
         length: tuple(np.array([getattr(m, f) for m in moves]) for f in ("rank", "first", "each", "offset"))
         for length, moves in plan(counts, size).items()
     }
     before = F.sum("n").over(Window.partitionBy("length").orderBy("part")) - F.col("n")
-    own = F.row_number().over(Window.partitionBy("length", "part").orderBy("doc_id", "piece", "ids_crc32"))
+    own = F.row_number().over(Window.partitionBy("length", "part").orderBy("doc_id", "piece", "ids"))
     ranked = found.withColumn("own", own).join(
         parts.select("length", "part", before.alias("before")), ["length", "part"]
     )
     schema = fields(
-        "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint"
+        "doc_id bigint, piece int, start bigint, length bigint, ids binary, sequence_id bigint, offset bigint"
     )
 
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -125,13 +135,33 @@ def place(found: DataFrame, size: int) -> DataFrame:
                 move = np.searchsorted(ranks, rank[at], "right") - 1
                 bins, within = np.divmod(rank[at] - ranks[move], each[move])
                 sequence[at], offset[at] = first[move] + bins, base[move] + within * n
-            columns = [batch.column(i) for i in range(5)] + [pa.array(sequence), pa.array(offset)]
+            ids = batch.column(4)
+            wide = [
+                x if len(x) == 4 * n else np.frombuffer(x, "<u2").astype("<u4").tobytes()
+                for x, n in zip(ids.to_pylist(), length.tolist(), strict=True)
+            ]
+            columns = [batch.column(i) for i in range(4)] + [pa.array(wide, pa.binary()), pa.array(sequence), pa.array(offset)]
             yield pa.RecordBatch.from_arrays(columns, names=schema.fieldNames())
 
     rank = (F.col("before") + F.col("own") - 1).alias("rank")
-    return ranked.select("doc_id", "piece", "start", "length", "ids_crc32", rank).mapInArrow(placed, schema)
+    done = ranked.select("doc_id", "piece", "start", "length", "ids", rank).mapInArrow(placed, schema)
+    return done.withColumn("ids_crc32", F.crc32("ids")).select(*PACKED)
 
 
 def pack(docs: DataFrame, encoder: Encoder, key_col: str, text_col: str, size: int = 1024) -> DataFrame:
-    """Every piece of every document with its sequence and the place there."""
-    return place(durable(pieces(docs, encoder, key_col, text_col, size)), size)
+    """Every piece of every document with its ids, its sequence and the place there.
+
+    Encoded pieces are written once, below the checkpoint folder; the caller removes them.
+    """
+    path = f"{checkpoint_folder(docs.sparkSession)}/pieces-{uuid.uuid4().hex}"
+    found = pieces(docs, encoder, key_col, text_col, size)
+    found.write.option("compression", "zstd").parquet(path)
+    return place(docs.sparkSession.read.schema(found.schema).parquet(path), size)
+
+
+def sequences(packed: DataFrame) -> DataFrame:
+    """Whole training sequences: ``sequence_id``, the number of tokens, and the ids of all its pieces in order."""
+    inside = F.sort_array(F.collect_list(F.struct("offset", "ids"))).alias("inside")
+    whole = packed.groupBy("sequence_id").agg(F.sum("length").alias("length"), inside)
+    ids = F.aggregate("inside", F.lit(b""), lambda a, x: F.concat(a, x["ids"]))
+    return whole.select("sequence_id", "length", ids.alias("ids"))

@@ -43,7 +43,7 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoder = Encoder(public_tokenizers.path("byte_bpe_50k.json"), END)
-    return packing.pack(documents(spark, sf_dir, "doc_id", "text"), encoder, "doc_id", "text", 1024)
+    return packing.pack(documents(spark, sf_dir, "doc_id", "text"), encoder, "doc_id", "text", 1024).drop("ids")
 
 
 def op6_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,6 +3,7 @@
 import hashlib
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -336,6 +337,21 @@ def test_packing(spark):
     assert packing.pack(docs_of(spark, []), encoder, "doc_id", "text", size).count() == 0
 
 
+def test_packed_sequences_hold_all_tokens(spark):
+    encoder, size = Encoder(public_tokenizers.path("byte_bpe_50k.json"), 2), 64
+    rows = [*ODD, *enumerate(texts(np.random.default_rng(10), 100, ["a b", "word", "xyz é"], 1, 60), 100)]
+    packed = packing.pack(docs_of(spark, rows), encoder, "doc_id", "text", size).cache()
+    ids = {r.sequence_id: r.ids for r in packing.sequences(packed).collect()}
+    want = Counter()
+    for _, text in rows:
+        whole = encoder(text)
+        want.update(whole[4 * a : 4 * (a + n)] for a, n in packing.piece_bounds(len(whole) // 4, size))
+    pieces = packed.collect()
+    assert Counter(ids[r.sequence_id][4 * r.offset : 4 * (r.offset + r.length)] for r in pieces) == want
+    assert all(r.ids_crc32 == zlib.crc32(r.ids) for r in pieces)
+    assert sum(map(len, ids.values())) == sum(len(encoder(t)) for _, t in rows)
+
+
 def test_plan_is_best_fit_decreasing():
     rng = np.random.default_rng(10)
     lengths = rng.integers(1, 33, 500)
