@@ -1,13 +1,13 @@
 """Quality by compression: which of two dictionaries makes a text smaller.
 
 One zstandard dictionary is built from good labelled text and one from bad. The difference of the
-two compressed sizes, by the size of the text, goes through a logistic curve fitted on labelled
-rows that neither dictionary has seen.
+two compressed sizes, summed over all pieces of bounded size and divided by the size of the text,
+goes through a logistic curve fitted on labelled rows that neither dictionary has seen.
 
 Cases: a null or empty text gets the score of its class of texts, the share of good rows. Labels
 that contradict each other for a document are left out. If a class has no labelled row, every score
 is the share of good rows (0.5 without any label). Repeated rows get equal scores; other columns
-stay; very long texts are compressed whole.
+stay; very long texts are compressed to their end, piece by piece.
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from punctuality.llm.common import fields, map_texts, sampled
 
 CHUNK, CHUNKS = 1024, 4
+PIECE = 2048  # most bytes that are compressed at once
 RESULT = fields("score double")
 
 
@@ -61,7 +62,10 @@ class Measure:
                 ))
             self.pair = kept
         raw = text.encode("utf-8", "replace")
-        good, bad = (len(c.compress(raw)) for c in self.pair)
+        # Each piece afresh: a text's own history would hide the dictionaries after some pieces.
+        n = -(-len(raw) // PIECE)
+        cuts = [len(raw) * i // n for i in range(n + 1)]
+        good, bad = (sum(len(c.compress(raw[a:b])) for a, b in zip(cuts, cuts[1:], strict=False)) for c in self.pair)
         return (bad - good) / len(raw)
 
 

@@ -460,6 +460,18 @@ def test_quality(spark):
     assert {r[0] for r in rows_of(quality.score(docs, none, "text"), "score")} == {0.5}
 
 
+def test_quality_of_long_texts_does_not_fade():
+    rng = np.random.default_rng(13)
+    good, bad = (
+        texts(rng, 200, [f"{k}{''.join(rng.choice(list('abcdefghij'), 6))}" for _ in range(400)], 60, 90) for k in "gb"
+    )
+    made = [quality.dictionary([t.encode() for t in side[:150]], 1 << 15) for side in (good, bad)]
+    measure = quality.Measure(*made, 3)
+    for side, sign in ((good, 1), (bad, -1)):
+        short, long = measure(" ".join(side[150:153])), measure(" ".join(side[150:] * 4))
+        assert sign * short > 0 and sign * long > 0.5 * sign * short
+
+
 # Personal data
 
 PEOPLE = "mail a.b@c-d.org or x@y, ip 10.0.0.255 not 10.0.0.256, card 4111 1111-1111 1111, call +1 (555) 010-9999."
