@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from punctuality.llm import decontaminate, language_id, packing, pii, quality, secrets, simhash, substring, token_files, topk
+from punctuality.llm import (
+    decontaminate, language_id, packing, pii, quality, range_join, secrets, simhash, substring, token_files, topk,
+)
 from punctuality.llm.common import remainder
 from punctuality.llm.tokens import Encoder
 from punctuality.plans.durable import checkpoint_folder
@@ -76,6 +78,10 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.scan(docs, "text", pii.fit(docs, "doc_id", "text")).drop("text")
 
 
+def op11_range_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return range_join.near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), "vec_id", "embedding", 0.95)
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_simhash_dedup": op2_simhash_dedup,
@@ -87,6 +93,7 @@ QUERIES = {
     "op8_token_files": op8_token_files,
     "op9_quality": op9_quality,
     "op10_pii": op10_pii,
+    "op11_range_join": op11_range_join,
 }
 
 TOP_K_SQL = """
@@ -106,6 +113,24 @@ WITH v AS (
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
 
+NEAR_VECTORS_SQL = """
+WITH RECURSIVE v AS (
+    SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings
+    WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.x) = len(b.x)
+    WHERE list_cosine_similarity(a.x, b.x) >= 0.95
+), reached(a, b) AS (
+    SELECT vec_id, vec_id FROM embeddings
+    UNION
+    SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a
+), named AS (SELECT a AS vec_id, min(b) AS component_id FROM reached GROUP BY a),
+counted AS (SELECT a AS vec_id, count(*) AS n_links FROM links GROUP BY a)
+SELECT e.vec_id, coalesce(c.n_links, 0) AS n_links, n.component_id, e.vec_id = n.component_id AS kept
+FROM embeddings e JOIN named n USING (vec_id) LEFT JOIN counted c USING (vec_id)
+"""
+
 
 def _secret_sql() -> str:
     """The scan in SQL: places from the lengths of gaps and matches."""
@@ -142,4 +167,5 @@ FROM docs d LEFT JOIN found f ON d.doc_id = f.doc_id
 ORACLES: dict[str, str] = {
     "op6_exact_topk": TOP_K_SQL,
     "op7_secret_scans": _secret_sql(),
+    "op11_range_join": NEAR_VECTORS_SQL,
 }
