@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from punctuality.llm import (
-    decontaminate, language_id, packing, pii, quality, range_join, secrets, simhash, substring, token_files, topk,
+    conversations, decontaminate, language_id, packing, pii, quality, range_join, secrets, simhash, substring,
+    token_files, topk,
 )
 from punctuality.llm.common import remainder
 from punctuality.llm.tokens import Encoder
@@ -82,6 +83,11 @@ def op11_range_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return range_join.near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), "vec_id", "embedding", 0.95)
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    return conversations.repaired_after_damage(rows, "conv_id", "turn", "role", "text")
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_simhash_dedup": op2_simhash_dedup,
@@ -94,6 +100,7 @@ QUERIES = {
     "op9_quality": op9_quality,
     "op10_pii": op10_pii,
     "op11_range_join": op11_range_join,
+    "op12_conversation_repair": op12_conversation_repair,
 }
 
 TOP_K_SQL = """
