@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from punctuality.llm import (
-    conversations, decontaminate, language_id, packing, pii, quality, range_join, secrets, simhash, substring,
-    token_files, topk,
+    conversations, decontaminate, language_id, packing, pii, quality, range_join, ranked_search, secrets, simhash,
+    substring, token_files, topk,
 )
 from punctuality.llm.common import remainder
 from punctuality.llm.tokens import Encoder
@@ -88,6 +88,11 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.repaired_after_damage(rows, "conv_id", "turn", "role", "text")
 
 
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return ranked_search.search(documents(spark, sf_dir, "doc_id", "text"), "doc_id", "text", items, "item_id", "text", k=20)
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_simhash_dedup": op2_simhash_dedup,
@@ -101,6 +106,7 @@ QUERIES = {
     "op10_pii": op10_pii,
     "op11_range_join": op11_range_join,
     "op12_conversation_repair": op12_conversation_repair,
+    "op13_ranked_search": op13_ranked_search,
 }
 
 TOP_K_SQL = """
@@ -138,6 +144,35 @@ SELECT e.vec_id, coalesce(c.n_links, 0) AS n_links, n.component_id, e.vec_id = n
 FROM embeddings e JOIN named n USING (vec_id) LEFT JOIN counted c USING (vec_id)
 """
 
+RANKED_SQL = r"""
+WITH found AS (
+    SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+    FROM documents
+), docs AS (SELECT doc_id, terms, len(terms) AS n FROM found WHERE len(terms) > 0),
+total AS (SELECT count(*) AS n_docs, sum(n) AS n_terms FROM docs),
+asked AS (
+    SELECT item_id, term, count(*) AS repeats FROM (
+        SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+        FROM (SELECT DISTINCT item_id, text FROM benchmark)
+    ) GROUP BY ALL
+), held AS (
+    SELECT doc_id, n, term, count(*) AS tf FROM (SELECT doc_id, n, unnest(terms) AS term FROM docs)
+    WHERE term IN (SELECT term FROM asked) GROUP BY ALL
+), weighted AS (
+    SELECT term, CAST(floor(1000 * ln((2 * any_value(n_docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+    FROM held, total GROUP BY term
+), scored AS (
+    SELECT item_id, doc_id, CAST(sum(repeats * w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + CAST((25 * n * n_docs) // n_terms AS BIGINT)))))
+        AS BIGINT) AS score
+    FROM asked JOIN weighted USING (term) JOIN held USING (term), total GROUP BY ALL
+), ranked AS (
+    SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM scored WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 20
+"""
+
 
 def _secret_sql() -> str:
     """The scan in SQL: places from the lengths of gaps and matches."""
@@ -175,4 +210,5 @@ ORACLES: dict[str, str] = {
     "op6_exact_topk": TOP_K_SQL,
     "op7_secret_scans": _secret_sql(),
     "op11_range_join": NEAR_VECTORS_SQL,
+    "op13_ranked_search": RANKED_SQL,
 }
