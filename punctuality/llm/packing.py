@@ -5,7 +5,10 @@ one length: a sweep over the gaps, from the smallest that is large enough, match
 as it can, ranks resolve who gets which gap, the gaps are updated, and the next shorter length
 follows. Gaps of one size and documents of one length are interchangeable, so a sweep needs counts
 only. There are at most ``size`` lengths, so the plan of all steps is bounded, however many
-documents there are; ranks and placements are computed in parallel. Pieces carry their token ids, as
+documents there are; ranks and placements are computed in parallel. A piece that fills a sequence has
+no gap to look for and is not moved at all. Of the others, each encoding task numbers those of one
+length, and sums over the tasks before it make ranks of the numbers, so that no rows of one length meet
+in a task. Pieces carry their token ids, as
 little-endian unsigned 32-bit integers, all the way; between steps they take 16 bits where that is
 enough for the vocabulary.
 
@@ -22,6 +25,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,8 +33,7 @@ from punctuality.llm.common import fields, rows_to_batch, small_batches
 from punctuality.llm.tokens import Encoder
 from punctuality.plans.durable import checkpoint_folder
 
-# Rows of one length are ranked in so many independent parts.
-PARTS = 256
+BATCH_BYTES = 4 << 20  # of ids that a task gathers
 PACKED = ("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset", "ids")
 
 
@@ -46,17 +49,27 @@ def narrow(encoder: Encoder) -> bool:
 
 
 def pieces(docs: DataFrame, encoder: Encoder, key_col: str, text_col: str, size: int) -> DataFrame:
-    """Every document's pieces: key, number, start, length and the ids (16 bits each if :func:`narrow`)."""
-    schema = fields("doc_id bigint, piece int, start bigint, length bigint, ids binary")
+    """Every document's pieces: key, number, start, length and the ids (16 bits each if :func:`narrow`),
+    and for pieces that aren't full the task and how many of their length it had before."""
+    schema = fields("doc_id bigint, piece int, start bigint, length bigint, ids binary, task int, own bigint")
     kind = "<u2" if narrow(encoder) else "<u4"
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, seen = TaskContext.get().partitionId(), [0] * size
         for batch in batches:
-            rows = []
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                ids = np.frombuffer(encoder(text), "<u4").astype(kind)
+            rows, held = [], 0
+            for key, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                ids = np.frombuffer(encoder(text.as_py()), "<u4").astype(kind)
+                held += ids.nbytes
                 for i, (at, n) in enumerate(piece_bounds(len(ids), size)):
-                    rows.append((key, i, at, n, ids[at : at + n].tobytes()))
+                    part = (None, None)
+                    if n < size:
+                        part = (task, seen[n])
+                        seen[n] += 1
+                    rows.append((key, i, at, n, ids[at : at + n].tobytes(), *part))
+                if held > BATCH_BYTES:
+                    yield rows_to_batch(rows, schema)
+                    rows, held = [], 0
             yield rows_to_batch(rows, schema)
 
     return small_batches(docs).select(F.col(key_col).cast("bigint"), F.col(text_col)).mapInArrow(cut, schema)
@@ -73,8 +86,8 @@ class Move:
     offset: int
 
 
-def plan(counts: dict[int, int], size: int) -> dict[int, list[Move]]:
-    """Best fit by descending length for ``counts`` documents of each length."""
+def plan(counts: dict[int, int], size: int) -> tuple[dict[int, list[Move]], int]:
+    """Best fit by descending length for ``counts`` documents of each length, and the number of sequences."""
     gaps: list[list[tuple[int, int]]] = [[] for _ in range(size + 1)]
     opened, moves = 0, {}
     for length in sorted(counts, reverse=True):
@@ -100,27 +113,21 @@ def plan(counts: dict[int, int], size: int) -> dict[int, list[Move]]:
                 gaps[gap - rest * length].append((first + full, 1))
             left, rank = left - count, rank + count
         moves[length] = made
-    return moves
+    return moves, opened
 
 
 def place(found: DataFrame, size: int) -> DataFrame:
     """Pieces with ``ids_crc32``, ``sequence_id``, ``offset`` and their ids in 32 bits."""
-    found = found.withColumn("part", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(PARTS)).cast("int"))
-    parts = found.groupBy("length", "part").agg(F.count(F.lit(1)).alias("n"))
-    # At most ``size`` rows.
+    parts = found.filter("own IS NOT NULL").groupBy("length", "task").agg(F.count(F.lit(1)).alias("n"))
+    # Fewer than ``size`` rows.
     counts = {r.length: r.n for r in parts.groupBy("length").agg(F.sum("n").alias("n")).collect()}
-    if not counts:
-        nothing = {"ids_crc32": F.crc32("ids"), "sequence_id": F.lit(0).cast("bigint"), "offset": F.lit(0).cast("bigint")}
-        return found.withColumns(nothing).select(*PACKED)
+    moves, opened = plan(counts, size)
     table = {
-        length: tuple(np.array([getattr(m, f) for m in moves]) for f in ("rank", "first", "each", "offset"))
-        for length, moves in plan(counts, size).items()
+        length: tuple(np.array([getattr(m, f) for m in made]) for f in ("rank", "first", "each", "offset"))
+        for length, made in moves.items()
     }
-    before = F.sum("n").over(Window.partitionBy("length").orderBy("part")) - F.col("n")
-    own = F.row_number().over(Window.partitionBy("length", "part").orderBy("doc_id", "piece", "ids"))
-    ranked = found.withColumn("own", own).join(
-        parts.select("length", "part", before.alias("before")), ["length", "part"]
-    )
+    before = F.sum("n").over(Window.partitionBy("length").orderBy("task")) - F.col("n")
+    parts = parts.select("length", "task", before.alias("before"))
     schema = fields(
         "doc_id bigint, piece int, start bigint, length bigint, ids binary, sequence_id bigint, offset bigint"
     )
@@ -128,9 +135,12 @@ def place(found: DataFrame, size: int) -> DataFrame:
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             length, rank = batch.column(3).to_numpy(), batch.column(5).to_numpy()
-            sequence, offset = np.empty(len(rank), np.int64), np.empty(len(rank), np.int64)
+            sequence, offset = np.empty(len(rank), np.int64), np.zeros(len(rank), np.int64)
             for n in np.unique(length):
                 at = np.flatnonzero(length == n)
+                if n == size:
+                    sequence[at] = opened + rank[at]
+                    continue
                 ranks, first, each, base = table[int(n)]
                 move = np.searchsorted(ranks, rank[at], "right") - 1
                 bins, within = np.divmod(rank[at] - ranks[move], each[move])
@@ -143,8 +153,11 @@ def place(found: DataFrame, size: int) -> DataFrame:
             columns = [batch.column(i) for i in range(4)] + [pa.array(wide, pa.binary()), pa.array(sequence), pa.array(offset)]
             yield pa.RecordBatch.from_arrays(columns, names=schema.fieldNames())
 
-    rank = (F.col("before") + F.col("own") - 1).alias("rank")
-    done = ranked.select("doc_id", "piece", "start", "length", "ids", rank).mapInArrow(placed, schema)
+    row = ["doc_id", "piece", "start", "length", "ids"]
+    # Any number of its own will do for a sequence of one piece.
+    full = found.filter("own IS NULL").select(*row, F.monotonically_increasing_id().alias("rank"))
+    others = found.filter("own IS NOT NULL").join(parts, ["length", "task"]).select(*row, (F.col("before") + F.col("own")).alias("rank"))
+    done = full.union(others).mapInArrow(placed, schema)
     return done.withColumn("ids_crc32", F.crc32("ids")).select(*PACKED)
 
 

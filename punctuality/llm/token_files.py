@@ -7,7 +7,8 @@ whose stored displacement gives the key's slot; every slot holds a fingerprint,
 key's first document and how many there are. A lookup takes constant time.
 
 Cases: a null text is empty and still has its end token. Rows without a key come first and have no
-index entry. Repeated keys stand next to each other, ordered by text, and share one slot. An empty
+index entry. Repeated keys stand next to each other, ordered by their text's hash, and share one slot of
+a shard; they may go on in the next one. An empty
 table gives no shards. Only the named columns are read. A document larger than a shard makes the
 shard larger, none is cut.
 """
@@ -133,7 +134,9 @@ def write(
     """Write all documents as shards of about ``shard_tokens`` ids under ``path``."""
     rows = small_batches(docs).select(F.col(key_col).cast("bigint").alias("key"), F.col(text_col).alias("text"))
     # Texts are smaller than ids, so they are what is shuffled.
-    rows = rows.repartitionByRange("key").sortWithinPartitions("key", "text")
+    # Rows without a key, or with one that repeats, may be many: their texts' hashes deal them out.
+    tie = F.xxhash64("text").alias("tie")
+    rows = rows.select("key", "text", tie).repartitionByRange("key", "tie").sortWithinPartitions("key", "tie", "text")
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seq, keys, ids, size = TaskContext.get().partitionId(), 0, [], [], 0
