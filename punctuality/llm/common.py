@@ -63,6 +63,32 @@ def map_texts(
     return small_batches(df).mapInArrow(run, T.StructType([*kept, *fields.fields]))
 
 
+def filter_texts(df: DataFrame, text_col: str, test: Callable[[list], Iterable[bool]]) -> DataFrame:
+    """The rows of ``df`` whose text passes ``test``, which takes and gives a list. No column is added,
+    so none can clash."""
+    at = df.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(list(test(batch.column(at).to_pylist())), pa.bool_()))
+
+    return small_batches(df).mapInArrow(run, df.schema)
+
+
+def replace_texts(df: DataFrame, text_col: str, make: Callable[[list], Iterable[str | None]]) -> DataFrame:
+    """``df`` with other texts, in the same columns."""
+    at = df.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = pa.array(list(make(batch.column(at).to_pylist())), batch.schema.types[at])
+            yield pa.RecordBatch.from_arrays(
+                [texts if i == at else column for i, column in enumerate(batch.columns)], names=batch.schema.names
+            )
+
+    return small_batches(df).mapInArrow(run, df.schema)
+
+
 def arrow_type(kind: T.DataType) -> pa.DataType:
     plain = {
         "string": pa.string(), "bigint": pa.int64(), "int": pa.int32(), "double": pa.float64(),

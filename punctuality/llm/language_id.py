@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from punctuality.llm.common import fields, map_texts, sampled, small_batches
+from punctuality.llm.common import fields, filter_texts, map_texts, sampled, small_batches
 
 BUCKETS = 1 << 15  # trigrams are hashed, which bounds the model by the number of languages
 UNKNOWN = "und"
@@ -73,6 +73,20 @@ class Model:
         at, n = trigrams(text)
         if not len(at):
             return self.languages[0], 1.0 / len(self.languages), 1
+        chosen, share, _ = self.explain(at, n)
+        first = min(range(len(chosen)), key=lambda i: (-share[i], self.languages[chosen[i]]))
+        return self.languages[chosen[first]], float(min(1.0, share[first])), len(chosen)
+
+    def foreign(self, text: str | None, evidence: float) -> bool:
+        """Whether the text is in no learned language: it has no letter, or noise, in which all trigrams
+        are as likely, gives it a log likelihood greater by ``evidence`` than the best mixture does."""
+        if text is None or not self.languages or not any(map(str.isalpha, text)):
+            return True
+        at, n = trigrams(text)
+        return bool(len(at)) and -np.log(BUCKETS) * n.sum() - self.explain(at, n)[2] > evidence
+
+    def explain(self, at: np.ndarray, n: np.ndarray) -> tuple[list[int], np.ndarray, float]:
+        """The languages that a document holds, their proportions, and the log likelihood."""
         p = self.probability[:, at]
         single = np.log(p) @ n
         chosen = [int(single.argmax())]
@@ -94,8 +108,7 @@ class Model:
                 break
             chosen, share, likelihood = [*chosen, k], more, gained
             mix = share @ p[chosen]
-        first = min(range(len(chosen)), key=lambda i: (-share[i], self.languages[chosen[i]]))
-        return self.languages[chosen[first]], float(min(1.0, share[first])), len(chosen)
+        return chosen, share, likelihood
 
 
 def fit(
@@ -145,3 +158,12 @@ def predict(df: DataFrame, model: Model, text_col: str) -> DataFrame:
 def accepted(predicted: DataFrame, min_share: float = 0.0) -> DataFrame:
     """The rows with a language whose proportion is at least ``min_share``."""
     return predicted.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_share))
+
+
+def kept(df: DataFrame, model: Model, text_col: str, evidence: float = 100.0) -> DataFrame:
+    """The rows whose text the learned languages explain, whole and with all their columns.
+
+    The mixture's likelihood is weighed against noise; ``evidence`` is what noise must be ahead by, so
+    that a short text with unknown words stays.
+    """
+    return filter_texts(df, text_col, lambda texts: (not model.foreign(t, evidence) for t in texts))

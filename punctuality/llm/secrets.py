@@ -13,9 +13,11 @@ the named columns are read. A blob without findings is in the ledger too, as it
 from __future__ import annotations
 
 import zlib
+from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -49,27 +51,59 @@ def rule_version(rules: tuple[Rule, ...]) -> str:
 
 
 def spans_of(text: Column, rule: Rule, place: int) -> Column:
-    """Array of (start, place of the rule, kind, end) of a rule's matches; code points."""
-    pattern = F.lit(rule.pattern)
-    gaps = F.transform(F.split(text, rule.pattern, -1), F.length)
-    whole = F.transform(F.regexp_extract_all(text, pattern, F.lit(0)), F.length)
-    kept = whole if rule.group == 0 else F.transform(
-        F.regexp_extract_all(text, pattern, F.lit(rule.group)), F.length
-    )
-    total = lambda xs, n: F.aggregate(F.slice(xs, F.lit(1), n), F.lit(0), lambda a, x: a + x)
+    """Array of (start, place of the rule, kind, end) of a rule's matches; code points.
 
-    def span(n: Column, i: Column) -> Column:
-        start = total(gaps, i + 1) + total(whole, i)
+    A lambda evaluates what it refers to for each element, so the three searches are bound to a name
+    first. Starts are running sums; as an array that grows is copied, they grow in blocks.
+    """
+    pattern = F.lit(rule.pattern)
+    lengths = lambda xs: F.transform(xs, F.length)
+    whole = lengths(F.regexp_extract_all(text, pattern, F.lit(0)))
+    kept = F.array().cast("array<int>") if rule.group == 0 else lengths(F.regexp_extract_all(text, pattern, F.lit(rule.group)))
+    searched = F.struct(lengths(F.split(text, rule.pattern, -1)).alias("gap"), whole.alias("whole"), kept.alias("kept"))
+
+    def span(at: Column, x: Column) -> Column:
+        start = at + x["gap"]
+        good = x["whole" if rule.group == 0 else "kept"] >= rule.least
         return F.struct(
             start.alias("start"), F.lit(place).alias("place"), F.lit(rule.kind).alias("kind"),
-            (start + n).alias("end"), (F.element_at(kept, i + 1) >= rule.least).alias("good"),
+            (start + x["whole"]).alias("end"), good.alias("good"),
         )
 
-    found = F.filter(F.transform(whole, span), lambda s: s["good"])
+    def in_block(sofar: Column, block: Column) -> Column:
+        none = F.struct(sofar["at"].alias("at"), F.array().cast(_SPANS).alias("spans"))
+        return F.aggregate(block, none, lambda a, x: F.struct(
+            (a["at"] + x["gap"] + x["whole"]).alias("at"), F.concat(a["spans"], F.array(span(a["at"], x))).alias("spans")
+        ))
+
+    def add_block(sofar: Column, block: Column) -> Column:
+        return bound(in_block(sofar, block), lambda made: F.struct(
+            made["at"].alias("at"), F.concat(sofar["blocks"], F.array(made["spans"])).alias("blocks")
+        ))
+
+    def placed(found: Column) -> Column:
+        steps = F.arrays_zip(found["gap"].alias("gap"), found["whole"].alias("whole"), found["kept"].alias("kept"))
+
+        def in_blocks(xs: Column) -> Column:
+            # The text ends with a gap, which no match follows.
+            n = F.size(xs) - 1
+            blocks = F.transform(F.sequence(F.lit(0), F.floor((n - 1) / BLOCK).cast("int")), lambda i: F.slice(xs, i * BLOCK + 1, F.least(F.lit(BLOCK), n - i * BLOCK)))
+            none = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{_SPANS}>").alias("blocks"))
+            return F.flatten(F.aggregate(blocks, none, add_block)["blocks"])
+
+        return bound(steps, in_blocks)
+
+    found = F.filter(bound(searched, placed), lambda s: s["good"])
     # Most texts have no match, and then one search is all they need.
     return F.when(text.rlike(rule.pattern), found).otherwise(F.array().cast(_SPANS))
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)``, for which ``value`` is evaluated once."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+BLOCK = 256  # matches whose spans are gathered in one array before it is copied
 _SPANS = "array<struct<start:int,place:int,kind:string,end:int,good:boolean>>"
 
 
@@ -115,9 +149,16 @@ def findings(
     ``ledger`` holds what earlier runs of :func:`scan` gave; only other blobs are scanned now.
     """
     new = scan(blobs(versions, text_col), ledger, rules)
-    known = new if ledger is None else new.unionByName(ledger.filter(F.col("rules") == rule_version(rules)))
-    # What holds nothing needs no join.
-    known = known.filter("spans <> ''").drop("rules")
+    return joined_back(versions, path_col, text_col, new if ledger is None else new.unionByName(
+        ledger.filter(F.col("rules") == rule_version(rules))
+    ), rules)
+
+
+def joined_back(
+    versions: DataFrame, path_col: str, text_col: str, known: DataFrame, rules: tuple[Rule, ...] = RULES
+) -> DataFrame:
+    """The findings of ``known`` blobs at every path that has them."""
+    known = known.drop("rules")  # no filter on the spans: it would sink below them and search twice
     paths = versions.select(F.col(path_col).alias("path"), blob_of(F.col(text_col)).alias("blob"))
     counts = [F.coalesce(f"n_{r.kind}", F.lit(0).cast("bigint")).alias(f"n_{r.kind}") for r in rules]
     spans = F.coalesce("spans", F.lit(""))
@@ -125,3 +166,25 @@ def findings(
         "path", *counts, F.sha2(spans.cast("binary"), 256).alias("base_sha256"), spans.alias("spans"),
         F.hex("blob").alias("blob"),
     )
+
+
+def read_ledger(spark: SparkSession, path: str, rules: tuple[Rule, ...] = RULES) -> DataFrame | None:
+    """What runs of this rule version have found below ``path``; none before the first."""
+    try:
+        return spark.read.parquet(f"{path}/{rule_version(rules)}").withColumn("rules", F.lit(rule_version(rules)))
+    except AnalysisException as cause:
+        if cause.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def findings_by_ledger(
+    versions: DataFrame, path_col: str, text_col: str, ledger_path: str, rules: tuple[Rule, ...] = RULES
+) -> DataFrame:
+    """:func:`findings` from the ledger below ``ledger_path``, after the blobs that it lacks were
+    scanned and added. A run that breaks off adds nothing, and the next one scans the same blobs."""
+    spark = versions.sparkSession
+    new = scan(blobs(versions, text_col), read_ledger(spark, ledger_path, rules), rules)
+    new.drop("rules").write.mode("append").parquet(f"{ledger_path}/{rule_version(rules)}")
+    known = read_ledger(spark, ledger_path, rules).filter("spans <> ''")  # what holds nothing needs no join
+    return joined_back(versions, path_col, text_col, known, rules)

@@ -87,8 +87,8 @@ class Recent:
             for i, ids in enumerate(found):
                 if ids is None:
                     piece = pieces[i]
-                    ids = young.get(piece) or old.get(piece) or make(piece)
-                    found[i] = ids
+                    # It may have come up earlier in the same list.
+                    found[i] = ids = young.get(piece) or old.get(piece) or make(piece)
                     if len(piece) <= LONGEST:
                         young[piece] = ids
             if len(young) >= KEEP:
@@ -133,30 +133,28 @@ class Encoder:
             "cut": re.compile(cut).findall, "pieces": regex.compile(pattern).findall,
             "latin": re.compile(in_latin(pattern)).findall, "lower": norm is not None,
             "special": special, "letters": letters, "space": letters[32], "library": library,
-            "tokenize": library.model.tokenize, "border": re.compile(rf"(?<=[^{SPACE}])(?=[{SPACE}])").search,
+            "recent": Recent(), "tokenize": library.model.tokenize, "border": re.compile(rf"(?<=[^{SPACE}])(?=[{SPACE}])").search,
         }
 
-    @cached_property
-    def recent(self) -> Recent:
-        return Recent()
-
     def whole(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def word(self, piece: str) -> bytes:
         """Ids of one piece, whatever was before."""
         at = self.layout
-        if not piece.isascii() or not piece.isprintable() or " " in piece[1:]:
-            piece = "".join(map(at["letters"].__getitem__, piece.encode()))
-        elif piece[0] == " ":
-            piece = at["space"] + piece[1:]
-        return array("I", [t.id for t in at["tokenize"](piece)]).tobytes()
+        if piece.isascii() and piece.isalpha():
+            shown = piece
+        elif piece.isascii() and piece[0] == " " and piece[1:].isalpha():
+            shown = at["space"] + piece[1:]
+        else:
+            shown = "".join(map(at["letters"].__getitem__, piece.encode()))
+        return array("I", [t.id for t in at["tokenize"](shown)]).tobytes()
 
     def chunk(self, chunk: str) -> bytes:
         """Ids of one chunk that is not among the recent ones."""
         if not chunk.isascii() and BEYOND_LATIN.search(chunk):
             return self.whole(chunk)
-        return b"".join(self.recent.among(self.layout["pieces"](chunk), self.word))
+        return b"".join(self.layout["recent"].among(self.layout["pieces"](chunk), self.word))
 
     def slices(self, text: str) -> Iterator[str]:
         """A long text in parts that are cut into the same chunks as the whole: after a word, before a space."""
@@ -177,4 +175,5 @@ class Encoder:
             text = text.lower() if latin else self.library.normalizer.normalize_str(text)
             latin = latin and not BEYOND_LATIN.search(text)
         cut, make = (at["latin"], self.word) if latin else (at["cut"], self.chunk)
-        return b"".join(b"".join(self.recent.among(cut(part), make)) for part in self.slices(text)) + end
+        among = at["recent"].among
+        return b"".join(b"".join(among(cut(part), make)) for part in self.slices(text)) + end
