@@ -1,10 +1,14 @@
 """Exact top-k by inner product, score at a time over an impact-ordered index.
 
-Candidates are indexed in blocks of bounded size: per dimension, the components fall into quantised
-levels, and a level's candidates form a posting segment. A query takes the segments by descending
-impact and keeps, for every candidate, bounds of its score. It stops when the bounds prove that all
-but a few candidates are out, or at the end of the index; those left are scored exactly. Queries go
-in blocks too, so one task holds one block of each, whatever the numbers are.
+Candidates are indexed in blocks of bounded size. A component, less the least of its dimension, is
+quantised by significance: its leading bits make the first level, each bit after them one more.
+The candidates of a dimension that share a level form a posting segment, whose impact is the level's
+weight. Segments are processed by descending quantised impact, those of one significance in all
+dimensions at once and for many queries at once. What has been added and what the bits still to come
+can add at most and at least bound each candidate's score. A query stops as soon as the bounds prove
+that all but a few candidates are out, which on most data the first levels do, or at the end of the
+index; those left are scored exactly. Queries go in blocks too, so one task holds one block of each,
+whatever the numbers are.
 
 Cases: vectors that are null or hold a null or non-finite component, and rows without an id, take
 no part. Only vectors of equal length are compared. A query is not its own candidate, nor are other
@@ -19,7 +23,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-LEVELS = 32
+FINE = 3  # bits that are levels of their own; those before them are the first level
+FEW = 16  # one of so many candidates may be left for exact scores
+TOGETHER = 64  # queries that share a pass over the segments
 SCALE = 256
 
 
@@ -32,57 +38,57 @@ def integers(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
 
 
 class ImpactIndex:
-    """One block of candidates as posting segments of one dimension and level each."""
+    """One block of candidates, level by level of significance."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray):
         order = np.argsort(ids, kind="stable")
         self.ids, self.vectors = ids[order], vectors[order]
-        n, d = vectors.shape
-        low, high = self.vectors.min(0), self.vectors.max(0)
-        width = (high - low) // LEVELS + 1
-        level = (self.vectors - low) // width
-        segment = (level + np.arange(d) * LEVELS).T.ravel()
-        posting = np.argsort(segment, kind="stable")
-        self.posting = posting % n
-        self.segments, starts = np.unique(segment[posting], return_index=True)
-        self.starts = np.append(starts, n * d)
-        self.dimension = self.segments // LEVELS
-        self.floor = low[self.dimension] + (self.segments % LEVELS) * width[self.dimension]
-        self.ceiling = self.floor + width[self.dimension] - 1
-
-    def top(self, query: np.ndarray, own: int, k: int, few: int = 64) -> list[tuple[int, int]]:
-        """The ``k`` best (id, score), without the rows whose id is ``own``."""
-        n, d = self.vectors.shape
-        open_ = self.ids != own
-        if not open_.any():
-            return []
-        q = query[self.dimension]
-        a, b = q * self.floor, q * self.ceiling
-        least, most = np.minimum(a, b), np.maximum(a, b)
-        worst = np.full(d, np.iinfo(np.int64).max)
-        np.minimum.at(worst, self.dimension, least)
-        order = np.argsort(-most, kind="stable")
-        sizes = np.diff(self.starts)[order]
-        step = np.cumsum(sizes) // max(1, n * d // 16)
-        upper, lower, seen = np.zeros(n), np.full(n, float(worst.sum())), np.zeros(n)
-        possible = open_
-        for batch in np.split(order, np.flatnonzero(np.diff(step)) + 1):
-            at = np.concatenate([self.posting[self.starts[s] : self.starts[s + 1]] for s in batch])
-            size = (self.starts[1:] - self.starts[:-1])[batch]
-            upper += np.bincount(at, np.repeat(most[batch], size), n)
-            lower += np.bincount(at, np.repeat(least[batch] - worst[self.dimension[batch]], size), n)
-            seen += np.bincount(at, minlength=n)
-            # No posting that is still to come adds more than the last one taken.
-            bound = upper + (d - seen) * most[batch[-1]]
-            sure = lower[open_]
-            limit = np.partition(sure, -k)[-k] if len(sure) > k else -np.inf
-            possible = open_ & (bound >= limit)
-            if possible.sum() <= max(few, k):
+        self.low = self.vectors.min(0, initial=np.iinfo(np.int64).max) if len(ids) else np.zeros(vectors.shape[1], np.int64)
+        above = self.vectors - self.low
+        self.levels = []  # (weight of the level, level of each candidate and dimension)
+        shift = int(above.max(initial=0)).bit_length()
+        while shift > 0:
+            bits = max(1, shift - FINE)
+            shift -= bits
+            self.levels.append((1 << shift, ((above >> shift) & ((1 << bits) - 1)).astype(np.float64)))
+        # Beyond 53 bits sums in double precision are rounded; the bounds leave room for that.
+        self.most = float(np.abs(self.vectors).max(initial=0)) * vectors.shape[1]
+
+    def top(self, queries: np.ndarray, own: np.ndarray, k: int) -> list[list[tuple[int, int]]]:
+        """For each query the ``k`` best (id, score), without the rows whose id is its ``own``."""
+        found: list[list[tuple[int, int]]] = [[] for _ in queries]
+        self.processed = 0  # levels, summed over the queries
+        asked = np.arange(len(queries))
+        exact = queries.astype(np.float64)
+        rising, falling = np.maximum(exact, 0).sum(1), np.maximum(-exact, 0).sum(1)
+        slack = np.abs(exact).max(1, initial=0) * self.most * 2.0**-48
+        sofar = np.repeat((exact @ self.low)[:, None], len(self.ids), axis=1)
+        closed = self.ids == own[:, None]
+        for weight, level in [*self.levels, (1, None)]:
+            if level is not None:
+                self.processed += len(asked)
+                sofar += (weight * exact[asked]) @ level.T
+            # The bits to come of a component are below the weight of its last level.
+            rest = weight - 1
+            least = sofar - (rest * falling[asked] + slack[asked])[:, None]
+            least[closed] = -np.inf
+            possible = np.ones_like(closed)
+            if len(self.ids) > k:
+                limit = np.partition(least, -k, axis=1)[:, -k]
+                possible = sofar + (rest * rising[asked] + slack[asked])[:, None] >= limit[:, None]
+            possible &= ~closed
+            done = possible.sum(1) <= max(k, len(self.ids) // FEW)
+            if level is None or weight == 1:
+                done[:] = True
+            for i in np.flatnonzero(done):
+                at = np.flatnonzero(possible[i])
+                score = self.vectors[at] @ queries[asked[i]]
+                best = np.lexsort((self.ids[at], -score))[:k]
+                found[asked[i]] = list(zip(self.ids[at[best]].tolist(), score[best].tolist(), strict=True))
+            sofar, closed, asked = sofar[~done], closed[~done], asked[~done]
+            if not len(asked):
                 break
-        at = np.flatnonzero(possible)
-        score = self.vectors[at] @ query
-        best = at[np.lexsort((self.ids[at], -score))[:k]]
-        return [(int(self.ids[i]), int(self.vectors[i] @ query)) for i in best]
+        return found
 
 
 def top_k(
@@ -104,10 +110,13 @@ def top_k(
     def search(candidates: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
         found = []
         if len(candidates) and len(asked):
-            index = ImpactIndex(candidates["id"].to_numpy(np.int64), np.array(candidates["v"].tolist(), np.int64).reshape(len(candidates), -1))
-            for own, vector, vector_key in zip(asked["id"], asked["v"], asked["key"], strict=True):
-                vector = np.array(vector, np.int64)
-                found += [(own, vector_key, i, s) for i, s in index.top(vector, own, k)]
+            table = lambda df: np.array(df["v"].tolist(), np.int64).reshape(len(df), df["d"].iloc[0])
+            index = ImpactIndex(candidates["id"].to_numpy(np.int64), table(candidates))
+            for at in range(0, len(asked), TOGETHER):
+                part = asked.iloc[at : at + TOGETHER]
+                own = part["id"].to_numpy(np.int64)
+                for i, key, best in zip(own.tolist(), part["key"], index.top(table(part), own, k), strict=True):
+                    found += [(i, key, *b) for b in best]
         return pd.DataFrame(found, columns=["query_id", "key", "vec_id", "score"])
 
     key = ["block", "query_block", "d"]
