@@ -12,26 +12,29 @@ stay; very long texts are compressed to their end, piece by piece.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from punctuality.llm.common import fields, map_texts, sampled
+from punctuality.llm.common import fields, map_texts, rows_to_batch, sampled, small_batches
 
-CHUNK, CHUNKS = 1024, 4
+CHUNK = 1024  # characters of a training piece
 PIECE = 2048  # most bytes that are compressed at once
 RESULT = fields("score double")
 
 
-def chunks(text: str | None) -> list[str]:
-    """Evenly spaced pieces of a training text; bounds what a dictionary is made from."""
-    if not text:
-        return []
-    step = max(CHUNK, len(text) // CHUNKS)
-    return [text[i : i + CHUNK] for i in range(0, len(text), step)][:CHUNKS]
+def chunks(key: str, text: str | None, share: float) -> list[str]:
+    """The training pieces of a whole text that a hash of its key and their place draws."""
+    text, most = text or "", share * 2.0**64
+    return [
+        text[i : i + CHUNK] for i in range(0, len(text), CHUNK) if xxhash.xxh64_intdigest(f"{key}:{i}") < most
+    ]
 
 
 def dictionary(samples: list[bytes], size: int) -> bytes:
@@ -100,12 +103,13 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3) -> tuple[float,
 
 def fit(
     docs: DataFrame, labels: DataFrame, key_col: str, text_col: str, label_col: str,
-    rows: int = 8000, size: int = 1 << 17, level: int = 3,
+    rows: int = 8000, size: int = 1 << 17, level: int = 3, pieces: int = 16_000,
 ) -> Model:
     """Learn from about ``rows`` labelled documents, drawn by hash of the key.
 
-    Half of them give :data:`CHUNKS` pieces each to the dictionaries, the other half places the
-    curve. Both bounds are parameters, so what reaches the driver doesn't grow with the input.
+    Half of them give their texts to the dictionaries, cut into pieces to the end, of which a hash
+    draws about ``pieces``; the other half places the curve. Both bounds are parameters, so what
+    reaches the driver doesn't grow with the input.
     """
     key = F.col("key")
     known = (
@@ -123,13 +127,19 @@ def fit(
     # About ``rows`` small rows by construction, hence the broadcast.
     texts = docs.select(F.col(key_col).alias("key"), F.col(text_col).alias("text")).filter("text <> ''")
     texts = texts.join(F.broadcast(drawn), "key")
-    pieces = map_texts(
-        texts.filter("shown").select("label", "text"), "text", fields("pieces array<string>"),
-        lambda batch: ((chunks(t),) for t in batch),
-    ).select("label", "pieces")
+    shown = texts.filter("shown").select(F.col("key").cast("string"), "label", "text")
+    total = shown.agg(F.sum(F.ceil(F.char_length("text") / CHUNK))).first()[0] or 1
+    share = min(1.0, pieces / total)
+    schema = fields("label int, piece string")
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for key, label, text in zip(*batch.columns, strict=True):
+                yield rows_to_batch([(label.as_py(), c) for c in chunks(key.as_py(), text.as_py(), share)], schema)
+
     samples: dict[int, list[bytes]] = {0: [], 1: []}
-    for row in pieces.orderBy("label", "pieces").toLocalIterator():
-        samples[row.label].extend(p.encode("utf-8", "replace") for p in row.pieces)
+    for row in small_batches(shown).mapInArrow(cut, schema).orderBy("label", "piece").toLocalIterator():
+        samples[row.label].append(row.piece.encode("utf-8", "replace"))
     if not samples[0] or not samples[1]:
         return Model(None, 0.0, 0.0, float(good))
     measure = Measure(dictionary(samples[1], size), dictionary(samples[0], size), level)

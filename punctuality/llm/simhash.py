@@ -5,7 +5,8 @@ differ in three bits at most agree on two blocks at least, so each is sent to on
 pair of blocks. A shard's BK-tree keys a node's children by their Hamming distance to it, and a
 query at distance d follows only the edges from d - radius to d + radius. Trees go to the tasks that
 hold their queries: a broadcast of all trees to all executors would grow with the corpus. A shard
-with very many members is cut into several trees of bounded size, and all its queries visit each.
+with very many members is cut into several trees of bounded size, and its queries into slices; each
+slice meets each tree in a group of its own, so that both sides of a group are bounded.
 
 Cases: a null text has no words; texts without words have fingerprint zero and are linked like any
 other. Repeated rows are copies. A row without an id gets its group's smallest id and never gives
@@ -29,7 +30,8 @@ from punctuality.plans.durable import durable
 
 SEED = 42
 WIDTHS = (13, 13, 13, 13, 12)  # bits of the blocks
-TREE = 8192  # most members of a tree
+TREE = 8192  # most members of a tree, about
+SLICE = 1 << 15  # most queries that visit a tree together, about
 BATCH = 1 << 16  # members of trees that are built together
 
 
@@ -120,8 +122,8 @@ def links(key: np.ndarray, points: np.ndarray, in_tree: np.ndarray, radius: int)
     return points[moved], points[union.label[moved]]
 
 
-def shard_links(found: DataFrame, radius: int, tree: int = TREE) -> DataFrame:
-    """Edges (a, b) between distinct fingerprints ``fp`` that connect all near ones."""
+def dealt(found: DataFrame, radius: int, tree: int = TREE, slice_: int = SLICE) -> DataFrame:
+    """``key, tree, in_tree, fp``: each fingerprint at its trees, as a member or as a query."""
     if radius > len(WIDTHS) - 2:
         raise ValueError(f"the blocks find at most {len(WIDTHS) - 2} differing bits")
     starts = [sum(WIDTHS[:i]) for i in range(len(WIDTHS))]
@@ -130,11 +132,22 @@ def shard_links(found: DataFrame, radius: int, tree: int = TREE) -> DataFrame:
     keys = [F.shiftleft(F.lit(n).cast("bigint"), 26) + F.shiftleft(block[i], 13) + block[j] for n, (i, j) in enumerate(pairs)]
     sent = found.select("fp", F.explode(F.array(*keys)).alias("key"))
     sizes = sent.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    trees = F.ceil(F.col("n") / F.lit(tree)).cast("int")
+    n = F.col("n")
+    trees, slices = F.ceil(n / F.lit(tree)).cast("int"), F.ceil(n / F.lit(slice_)).cast("int")
     own = F.pmod(F.xxhash64("fp"), trees).cast("int")
-    sent = sent.join(sizes, "key").select(
-        "key", F.explode(F.sequence(F.lit(0), trees - 1)).alias("tree"), own.alias("own"), "fp"
-    ).select("key", "tree", (F.col("own") == F.col("tree")).alias("in_tree"), "fp")
+    asking = F.pmod(F.xxhash64("fp", F.lit(1)), slices).cast("int")
+    # As a query it goes to all trees, as a member to all slices of queries.
+    groups = F.array_distinct(F.concat(
+        F.transform(F.sequence(F.lit(0), trees - 1), lambda t: t * slices + asking),
+        F.transform(F.sequence(F.lit(0), slices - 1), lambda s: own * slices + s),
+    ))
+    sent = sent.join(sizes, "key").select("key", F.explode(groups).alias("tree"), own.alias("own"), slices.alias("slices"), "fp")
+    return sent.select("key", "tree", (F.floor(F.col("tree") / F.col("slices")) == F.col("own")).alias("in_tree"), "fp")
+
+
+def shard_links(found: DataFrame, radius: int, tree: int = TREE, slice_: int = SLICE) -> DataFrame:
+    """Edges (a, b) between distinct fingerprints ``fp`` that connect all near ones."""
+    sent = dealt(found, radius, tree, slice_)
     sent = sent.repartition("key", "tree").sortWithinPartitions("key", "tree", "fp")
     schema = fields("a bigint, b bigint")
 
@@ -180,12 +193,12 @@ def fingerprints(df: DataFrame, key_col: str, text_col: str, shingle: int) -> Da
 
 
 def near_duplicates(
-    df: DataFrame, key_col: str, text_col: str, shingle: int = 3, radius: int = 3, tree: int = TREE
+    df: DataFrame, key_col: str, text_col: str, shingle: int = 3, radius: int = 3, tree: int = TREE, slice_: int = SLICE
 ) -> DataFrame:
     """``doc_id, fingerprint, component_id`` for each row; ``component_id`` is the smallest id reached."""
     docs = durable(fingerprints(df, key_col, text_col, shingle))
     nodes = docs.groupBy("fp").agg(F.min("doc_id").alias("first"))
-    edges = shard_links(nodes.select("fp"), radius, tree)
+    edges = shard_links(nodes.select("fp"), radius, tree, slice_)
     roots = components(edges).withColumnRenamed("node", "fp")
     nodes = nodes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     named = nodes.groupBy("root").agg(F.min("first").alias("component_id"))

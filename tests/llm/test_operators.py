@@ -9,6 +9,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from punctuality.llm import (
@@ -114,7 +115,7 @@ def test_simhash_components(spark):
     base = texts(rng, 12, [f"w{i}" for i in range(50)], 60, 90)
     near = [t.replace(" w1 ", " W1 ") + " tail" * (i % 2) for i, t in enumerate(base)]
     rows = [*ODD, *((100 - i, t) for i, t in enumerate(base)), *((200 + i, t) for i, t in enumerate(near)), *((300 + i, base[0]) for i in range(20))]
-    found = rows_of(simhash.near_duplicates(docs_of(spark, rows), "doc_id", "text", tree=2))
+    found = rows_of(simhash.near_duplicates(docs_of(spark, rows), "doc_id", "text", tree=2, slice_=3))
     prints = [plain_fingerprint(t) for _, t in rows]
     named = smallest_reached([k for k, _ in rows], prints)
     assert found == sorted(((k, f"{p:016x}", c) for (k, _), p, c in zip(rows, prints, named, strict=True)), key=repr)
@@ -123,6 +124,19 @@ def test_simhash_components(spark):
     assert [r[0] for r in rows_of(kept, "doc_id")] == sorted((k for (k, _), c in zip(rows, named, strict=True) if k is None or k == c), key=repr)
 
 
+def test_shards_are_bounded_on_both_sides(spark):
+    """Very many fingerprints in one shard: no group has more than a tree's members and a slice of queries."""
+    rng = np.random.default_rng(13)
+    prints = np.unique(rng.integers(0, 1 << 12, 900) << 20)  # all in the shards of the other blocks
+    found = spark.createDataFrame([(int(p),) for p in prints], "fp bigint")
+    groups = simhash.dealt(found, 3, tree=40, slice_=100).groupBy("key", "tree").agg(F.count_if("in_tree"), F.count("*")).collect()
+    assert max(g[2] for g in groups) < 2 * 40 and max(g[3] for g in groups) < 2 * (40 + 100) < len(prints)
+    edges = simhash.shard_links(found, 3, tree=40, slice_=100).collect()
+    order, union = {int(p): i for i, p in enumerate(prints)}, simhash.Union(len(prints))
+    union.join(np.array([order[e.a] for e in edges]), np.array([order[e.b] for e in edges]))
+    assert union.label.tolist() == smallest_reached(list(range(len(prints))), [int(p) for p in prints])
+
+
 def test_tree_finds_all_within_radius():
     rng = np.random.default_rng(3)
     points = np.unique(rng.integers(0, 1 << 14, 600).astype(np.uint64) << np.uint64(20))
