@@ -8,22 +8,31 @@ import uuid
 from collections.abc import Callable
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from driver_tables import MIN_FLIGHTS, flights, log_stream, log_table, planted_flights, wide_flights  # noqa: E402
+from driver_tables import (  # noqa: E402
+    MIN_FLIGHTS, flights, fuel_prices, log_stream, log_table, planted_flights, wide_flights,
+)
 from oracle_queries import ORACLES  # noqa: E402
 from punctuality.functions import present  # noqa: E402
-from punctuality.operators import counts, delays, model, run_log, sampling  # noqa: E402
+from punctuality.operators import counts, delays, model, quantiles, run_log, sampling  # noqa: E402
+from punctuality.operators.asof import as_of_join  # noqa: E402
 from punctuality.operators.clean import clean, is_flown, prune  # noqa: E402
 from punctuality.plans import pipeline  # noqa: E402
 from punctuality.plans import rollup as rolled  # noqa: E402
 from punctuality.plans.durable import checkpoint_folder, durable  # noqa: E402
+from punctuality.plans.observed import land_counted  # noqa: E402
 from punctuality.schema import NEEDED_COLUMNS  # noqa: E402
 from punctuality.sources.flights import land, preview, read_first_available, read_flights, read_landed  # noqa: E402
-from punctuality.sources.results import result_document  # noqa: E402
+from punctuality.sources.increment import land_new, read_increments, read_rollup  # noqa: E402
+from punctuality.sources.rejects import land_checked, read_good, read_marked, read_rejects, reject_values  # noqa: E402
+from punctuality.sources import results  # noqa: E402
+from punctuality.sources.results import analysis_rows, result_document  # noqa: E402
+from punctuality.sources.run_log import read_run_log  # noqa: E402
+from punctuality.streaming import open_runs  # noqa: E402
 from punctuality.streaming.live_log import keep_status, latest_status  # noqa: E402
 
 try:
@@ -65,17 +74,87 @@ portable_sample = partial(sampling.sample_by_key, keys=ROW_KEY, portable=True)
 SETTINGS = pipeline.Settings(min_flights=MIN_FLIGHTS, sample_keys=ROW_KEY, portable=True)
 
 
-def stage_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = flights(spark, sf_dir)
+def stages_of(raw: DataFrame) -> dict[str, Column]:
+    """The stages of a run as predicates over the raw flights."""
     flown = is_flown(raw)
     usable = present(raw, model.CARRIER, model.DISTANCE, model.DATE)
     chosen = flown & usable & sampling.in_sample(ROW_KEY, SETTINGS.sample_fraction, portable=True)
     side = sampling.split_number(ROW_KEY, portable=True)
-    stages = {
+    return {
         "raw": F.lit(True), "clean": flown,
         "train": chosen & (side == 0), "test": chosen & (side == 1),
     }
-    return counts.stage_counts(raw, stages)
+
+
+def stage_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = flights(spark, sf_dir)
+    return counts.stage_counts(raw, stages_of(raw))
+
+
+def observed_stage_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same counts, taken from the landing of the flights."""
+    raw = flights(spark, sf_dir)
+    return land_counted(raw, f"{checkpoint_folder(spark)}/counted-{uuid.uuid4().hex}", stages_of(raw))
+
+
+def flights_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each flight with the price that holds at its origin on its day."""
+    raw = flights(spark, sf_dir).select("flight_id", "ORIGIN", F.col("FL_DATE").try_cast("date").alias("FL_DAY"))
+    prices = fuel_prices(spark, sf_dir).withColumnRenamed("AIRPORT", "ORIGIN")
+    return as_of_join(raw, prices, ["ORIGIN"], "FL_DAY", "PRICE_DATE", ["PRICE_DATE", "PRICE"], order=["quote_id"])
+
+
+def carrier_delay_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Median, 90 and 99 percent of the arrival delay by carrier, from the histograms of two halves."""
+    cleaned = clean_flights(spark, sf_dir)
+    halves = [cleaned.filter(test) for test in ("ARR_DELAY < 10", "NOT ARR_DELAY < 10")]
+    by = ["OP_UNIQUE_CARRIER"]
+    parts = [quantiles.value_histogram(half, by, "ARR_DELAY") for half in halves]
+    return quantiles.quantiles(quantiles.merge_histograms(parts, by), by)
+
+
+def checked_landing(spark: SparkSession, sf_dir: str) -> str:
+    """Where the flights lie as landed from a CSV in which some delays are no numbers."""
+    path = csv_path(spark, wide_flights(spark, sf_dir, text_delays=True))
+    land_checked(read_marked(spark, path), f"{path}-checked")
+    return f"{path}-checked"
+
+
+def csv_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    values = reject_values(read_rejects(spark, checked_landing(spark, sf_dir)))
+    return values.select("FL_DATE", "OP_UNIQUE_CARRIER", "ORIGIN", "DEST", "DEP_DELAY", "n_values")
+
+
+def csv_good_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prune(read_good(spark, checked_landing(spark, sf_dir)))
+
+
+def landed_in_steps(spark: SparkSession, sf_dir: str) -> str:
+    """Where the flights lie after four landings: wrong late years, nothing new, and those years restated."""
+    wide, late = wide_flights(spark, sf_dir), F.coalesce(F.col("FL_DATE") >= "1999", F.lit(False))
+    folder = f"{checkpoint_folder(spark)}/units-{uuid.uuid4().hex}"
+    target = f"{folder}-landed"
+
+    def write(rows: DataFrame, unit: str) -> None:
+        rows.write.mode("overwrite").csv(f"{folder}/{unit}", header=True)
+
+    write(wide.filter(~late & (F.col("FL_DATE") < "1997")), "early")
+    land_new(spark, folder, target)
+    write(wide.filter(late).withColumns({"ARR_DELAY": F.col("ARR_DELAY") + 7, "FL_DATE": F.lit("2005-01-01")}), "late")
+    write(wide.filter(~late & F.coalesce(F.col("FL_DATE") >= "1997", F.lit(True))), "middle")
+    land_new(spark, folder, target)
+    land_new(spark, folder, target)
+    write(wide.filter(late), "late")
+    land_new(spark, folder, target)
+    return target
+
+
+def landed_increment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prune(read_increments(spark, landed_in_steps(spark, sf_dir)))
+
+
+def rollup_after_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_rollup(spark, landed_in_steps(spark, sf_dir))
 
 
 def split_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -191,6 +270,33 @@ def live_step_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest_status(spark, f"{folder}/status")
 
 
+def open_run_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log taken in as a stream whose runs expire by event time."""
+    folder = f"{checkpoint_folder(spark)}/open-{uuid.uuid4().hex}"
+    lines = run_log.log_lines(log_stream(spark, sf_dir, "CAST(ts AS TIMESTAMP) AS arrived"))
+    open_runs.keep_open_runs(lines, f"{folder}/runs", f"{folder}/state").awaitTermination()
+    return open_runs.open_run_status(spark, f"{folder}/runs")
+
+
+def log_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines as read back from one file per run; ``line_no`` is the place among the run's lines."""
+    folder = f"{checkpoint_folder(spark)}/logs-{uuid.uuid4().hex}"
+    lines = log_table(spark, sf_dir).repartition("run_id").sortWithinPartitions("run_id", "line_no")
+    lines.select("run_id", "line").write.partitionBy("run_id").text(folder)
+    found = read_run_log(spark, folder)
+    # The writer names the files; the folder names the run.
+    run = F.regexp_extract("run_id", "run_id=([^/]*)/", 1)
+    place = F.row_number().over(Window.partitionBy("run_id").orderBy("line_no")).cast("bigint")
+    return found.withColumn("run_id", run).select("run_id", place.alias("line_no"), "line")
+
+
+def analysis_document(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The results that need no model, from one scan: the document's rows in their order."""
+    rollup = durable(clean_rollup(spark, sf_dir))
+    top = delays.top_origin_delays(rolled.rollup_origins(rollup), min_flights=MIN_FLIGHTS)
+    return analysis_rows(results.analysis_document(rolled.rollup_causes(rollup), top, rolled.rollup_months(rollup)))
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Average arrival delay by month over the smallest data set."""
     return delays.monthly_delays(clean_flights(spark, SMOKE_DIR))
@@ -223,6 +329,7 @@ def queries() -> dict[str, Query]:
         "flights_clean": clean_flights,
         "preview": over(raw_flights, preview),
         "stage_counts": stage_counts,
+        "observed_stage_counts": observed_stage_counts,
         # Analyses
         "delay_causes": over(clean_flights, delays.delay_causes),
         "raw_delay_causes": over(raw_flights, delays.delay_causes),
@@ -241,6 +348,8 @@ def queries() -> dict[str, Query]:
         "monthly_delays_text": over(
             clean_flights, delays.monthly_delays, delays.monthly_delays_text
         ),
+        "carrier_delay_quantiles": carrier_delay_quantiles,
+        "flights_asof": flights_asof,
         # The same from one scan
         "delay_rollup": rollup_of,
         "rollup_counts": over(rollup_of, rolled.rollup_counts),
@@ -272,6 +381,10 @@ def queries() -> dict[str, Query]:
         "csv_inferred_delays": csv_inferred_delays,
         "first_available": first_available,
         "landed_flights": landed_flights,
+        "csv_rejects": csv_rejects,
+        "csv_good_flights": csv_good_flights,
+        "landed_increment": landed_increment,
+        "rollup_after_updates": rollup_after_updates,
         "top_feature": lambda s, d: model.top_feature(learned(s, d)[1][2]),
         # Run logs
         "log_lines": log_of,
@@ -281,8 +394,11 @@ def queries() -> dict[str, Query]:
         "log_step_status": over(log_of, run_log.step_status),
         "log_run_outcome": over(log_of, run_log.run_outcome),
         "log_current_step": over(log_of, run_log.step_status, run_log.current_step),
+        "log_files": log_files,
         "live_step_status": live_step_status,
+        "open_run_status": open_run_status,
         # Result document
+        "analysis_document": analysis_document,
         "dashboard_document": dashboard_document,
         **text_queries(),
     }

@@ -94,12 +94,29 @@ def wide_flights(spark: SparkSession, sf_dir: str, text_delays: bool = False) ->
     ])
 
 
-def _log_columns(events: DataFrame) -> DataFrame:
+# A sibling table of the flights: a price for each origin from some day on. Some days have several,
+# some prices no day or origin.
+_PRICE_COLUMNS = """
+    o_orderkey AS quote_id,
+    CASE WHEN o_orderkey % 131 = 4 THEN NULL WHEN o_custkey % 10 = 0 THEN 'R' || (o_custkey % 400)
+         ELSE 'H' || (o_custkey % 15) END AS AIRPORT,
+    CASE WHEN o_orderkey % 137 <> 6 THEN CAST(o_orderdate AS DATE) END AS PRICE_DATE,
+    CASE WHEN o_orderkey % 139 <> 8 THEN CAST(o_totalprice AS DOUBLE) END AS PRICE
+"""
+
+
+def fuel_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prices over ``orders``."""
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    return spark.sql(f"SELECT {_PRICE_COLUMNS} FROM {{orders}}", orders=orders)
+
+
+def _log_columns(events: DataFrame, *more: str) -> DataFrame:
     line = _LOG_LINE.format(
         k="(event_id div 16 % 5 + 1)", wide="(event_id div 16 % 8)", v="CAST(value AS STRING)"
     )
     return events.selectExpr(
-        "'run-' || user_id AS run_id", "event_id AS line_no", f"{line} AS line"
+        "'run-' || user_id AS run_id", "event_id AS line_no", f"{line} AS line", *more
     )
 
 
@@ -108,20 +125,22 @@ def log_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _log_columns(spark.read.parquet(f"{sf_dir}/events.parquet"))
 
 
-def log_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """:func:`log_table` as a stream.
+def log_stream(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
+    """:func:`log_table` as a stream, with further columns of ``events``.
 
     A file stream takes a folder or a pattern but no single file, and the table may be
     either; the pattern matches that one name.
     """
     schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    return _log_columns(spark.readStream.schema(schema).parquet(f"{sf_dir}/[e]vents.parquet"))
+    return _log_columns(spark.readStream.schema(schema).parquet(f"{sf_dir}/[e]vents.parquet"), *more)
 
 
 FLIGHTS_SQL = "SELECT {} FROM lineitem".format(
     _FLIGHT_COLUMNS.format(text="VARCHAR")
 )
 
+PRICES_SQL = f"SELECT {_PRICE_COLUMNS} FROM orders"
+
 PLANTED_SQL = f"SELECT * REPLACE ({_PLANTED_DELAY} AS ARR_DELAY) FROM ({FLIGHTS_SQL})"
 
 LOG_SQL = "SELECT 'run-' || user_id AS run_id, event_id AS line_no, {} AS line FROM events".format(

@@ -1,6 +1,6 @@
 """The registered queries in DuckDB SQL, over the driver's tables."""
 
-from driver_tables import FLIGHTS_SQL, LOG_SQL, MIN_FLIGHTS, PLANTED_SQL
+from driver_tables import FLIGHTS_SQL, LOG_SQL, MIN_FLIGHTS, PLANTED_SQL, PRICES_SQL
 
 CLEAN_SQL = """
     SELECT ARR_DELAY::FLOAT AS ARR_DELAY, DEP_DELAY::FLOAT AS DEP_DELAY,
@@ -261,8 +261,27 @@ ORACLES |= {
     # A tree that recovers the planted rule predicts the label of every row.
     "planted_predictions": f"""{_PLANTED}
         SELECT flight_id, IS_DELAYED, IS_DELAYED AS prediction FROM ml WHERE NOT {IN_TRAIN} AND {_HAS_MONTH}""",
-    "planted_accuracy": "SELECT 'accuracy' AS metric, 1.0::DOUBLE AS value FROM lineitem LIMIT 1",
-    "planted_top_feature": "SELECT 'MONTH' AS feature FROM lineitem LIMIT 1",
+    # The tree is right where the rule is: on every row of the test side whose rule gives its label.
+    "planted_accuracy": f"""{_PLANTED}
+        SELECT 'accuracy' AS metric, avg(CASE WHEN IS_DELAYED = CASE
+            WHEN month(try_cast(FL_DATE AS DATE)) >= 4 AND OP_UNIQUE_CARRIER <> 'C3' THEN 1 ELSE 0 END THEN 1.0 ELSE 0.0 END)::DOUBLE AS value
+        FROM ml WHERE NOT {IN_TRAIN} AND {_HAS_MONTH}""",
+    # The feature whose best single cut of the training rows leaves the least Gini impurity.
+    "planted_top_feature": f"""{_PLANTED}, train AS (
+            SELECT IS_DELAYED AS y, month(try_cast(FL_DATE AS DATE))::DOUBLE AS m, DISTANCE::DOUBLE AS d,
+                dense_rank() OVER (ORDER BY OP_UNIQUE_CARRIER)::DOUBLE AS c
+            FROM ml WHERE {IN_TRAIN} AND {_HAS_MONTH}
+        ), long AS (
+            SELECT 'MONTH' AS feature, m AS x, y FROM train UNION ALL SELECT 'DISTANCE', d, y FROM train
+            UNION ALL SELECT 'CARRIER', c, y FROM train
+        ), tallied AS (SELECT feature, x, count(*) AS n, sum(y) AS late FROM long GROUP BY ALL),
+        cut AS (
+            SELECT feature, sum(n) OVER below AS n, sum(late) OVER below AS late,
+                sum(n) OVER (PARTITION BY feature) AS n_all, sum(late) OVER (PARTITION BY feature) AS late_all
+            FROM tallied WINDOW below AS (PARTITION BY feature ORDER BY x)
+        )
+        SELECT feature FROM cut WHERE n < n_all GROUP BY feature
+        ORDER BY min(2 * late * (1 - late / n) + 2 * (late_all - late) * (1 - (late_all - late) / (n_all - n))) LIMIT 1""",
     "log_run_outcome": f"""{_LINES}, ends AS (
             SELECT run_id, regexp_extract(line, {_FINISHED}, 1) = '0' AND NOT contains(line, '[SYSTEM ERROR]') AS good
             FROM lines WHERE regexp_matches(line, {_FINISHED}) OR contains(line, '[SYSTEM ERROR]')
@@ -276,10 +295,42 @@ ORACLES |= {
             t.total_seconds
         FROM (SELECT DISTINCT run_id FROM lines) r LEFT JOIN ends e USING (run_id) LEFT JOIN totals t USING (run_id)""",
 }
+ORACLES |= {
+    "observed_stage_counts": ORACLES["stage_counts"],
+    # Of several prices on a day the last quote holds.
+    "flights_asof": f"""{_FLIGHTS}, prices AS ({PRICES_SQL}), days AS (
+            SELECT AIRPORT, PRICE_DATE, arg_max_null(PRICE, quote_id) AS PRICE
+            FROM prices WHERE AIRPORT IS NOT NULL AND PRICE_DATE IS NOT NULL GROUP BY ALL
+        ), asked AS (SELECT flight_id, ORIGIN, try_cast(FL_DATE AS DATE) AS FL_DAY FROM flights)
+        SELECT flight_id, ORIGIN, FL_DAY, PRICE_DATE, PRICE
+        FROM asked ASOF LEFT JOIN days ON ORIGIN = AIRPORT AND FL_DAY >= PRICE_DATE""",
+    "carrier_delay_quantiles": f"""{_CLEAN}
+        SELECT OP_UNIQUE_CARRIER, count(*) AS n, quantile_disc(ARR_DELAY::DOUBLE, 0.5) AS p50,
+            quantile_disc(ARR_DELAY::DOUBLE, 0.9) AS p90, quantile_disc(ARR_DELAY::DOUBLE, 0.99) AS p99
+        FROM clean GROUP BY OP_UNIQUE_CARRIER""",
+    "csv_rejects": f"""{_FLIGHTS}
+        SELECT FL_DATE, OP_UNIQUE_CARRIER, ORIGIN, DEST, 'n/a' AS DEP_DELAY, 49::INTEGER AS n_values
+        FROM flights WHERE flight_id % 97 = 0""",
+    "csv_good_flights": f"{_FLIGHTS} {_CSV} WHERE flight_id % 97 <> 0",
+    "landed_increment": f"{_FLIGHTS} {_CSV}",
+    "rollup_after_updates": ORACLES["delay_rollup"],
+}
 for _name in ("causes", "top_origin_delays", "monthly_delays"):
     _direct = "delay_causes" if _name == "causes" else _name
     ORACLES[f"rollup_{_name}"] = ORACLES[_direct]
 ORACLES["rollup_counts"] = f"""{_CLEAN}
     SELECT 'raw' AS stage, count(*) AS n FROM flights UNION ALL SELECT 'clean', count(*) FROM clean"""
 ORACLES["rollup_label_counts"] = ORACLES["delay_label_counts"]
-ORACLES["live_step_status"] = ORACLES["log_step_status"]
+ORACLES["live_step_status"] = ORACLES["open_run_status"] = ORACLES["log_step_status"]
+ORACLES["log_files"] = f"""{_LINES}
+    SELECT run_id, row_number() OVER (PARTITION BY run_id ORDER BY line_no) AS line_no, line FROM lines"""
+ORACLES["analysis_document"] = f"""{_CLEAN},
+    causes AS (UNPIVOT ({_CAUSE_SUMS} FROM clean) ON COLUMNS(*) INTO NAME name VALUE value),
+    numbered(name, position) AS (VALUES ('Late_Aircraft_Error', 0), ('Carrier_Error', 1), ('NAS_Error', 2),
+        ('Weather_Error', 3), ('Security_Error', 4))
+    SELECT 'delay_causes' AS part, position::INTEGER AS position, name, NULL::BIGINT AS flights, value
+    FROM causes JOIN numbered USING (name)
+    UNION ALL SELECT 'top_origin_delays', (row_number() OVER (ORDER BY Avg_Dep_Delay_Minutes DESC, ORIGIN, ORIGIN_CITY_NAME NULLS FIRST) - 1)::INTEGER,
+        concat_ws('|', ORIGIN, ORIGIN_CITY_NAME), Total_Flights, Avg_Dep_Delay_Minutes FROM ({_top('clean', 10)})
+    UNION ALL SELECT 'monthly_delays', (row_number() OVER (ORDER BY Avg_Arr_Delay_Minutes DESC, Flight_Month NULLS FIRST) - 1)::INTEGER,
+        Flight_Month::VARCHAR, Total_Flights, Avg_Arr_Delay_Minutes FROM ({_MONTHS.format(table='clean')})"""

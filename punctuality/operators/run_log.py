@@ -106,22 +106,37 @@ def step_status(lines: DataFrame) -> DataFrame:
     Each run is folded into one row of last positions by a single hash aggregation,
     pre-aggregated per task, so a run that holds most of the lines is no hot spot.
     """
-    at, step = F.col("line_no"), F.col("step")
-    marked = lines.select(
-        "run_id",
-        "line_no",
-        timed_step().alias("step"),
-        timed_seconds().alias("seconds"),
-        *[F.col("line").contains(f"[PHASE {n}]").alias(f"phase{n}") for n in _numbers()],
-    )
+    return status_of_runs(run_positions(lines))
+
+
+def run_positions(lines: DataFrame, *more: Column) -> DataFrame:
+    """One row per run: where each step was last started and finished, and its last time.
+
+    ``more`` are further aggregates over the columns of ``lines``.
+    """
+    at, step = F.col("line_no"), timed_step()
     last = []
     for n in _numbers():
         # Step 0 is no step, so it does not start step 1.
-        started = F.col(f"phase{n}") | (step.eqNullSafe(n - 1) & F.lit(n > 1))
+        started = F.col("line").contains(f"[PHASE {n}]") | (F.col("step").eqNullSafe(n - 1) & F.lit(n > 1))
         last.append(F.max(F.when(started, at)).alias(f"started{n}"))
-        last.append(F.max(F.when(step == n, at)).alias(f"finished{n}"))
-        last.append(F.max_by("seconds", F.when(step == n, at)).alias(f"seconds{n}"))
-    runs = marked.groupBy("run_id").agg(*last)
+        last.append(F.max(F.when(F.col("step") == n, at)).alias(f"finished{n}"))
+        last.append(F.max_by("seconds", F.when(F.col("step") == n, at)).alias(f"seconds{n}"))
+    marked = lines.withColumns({"step": step, "seconds": timed_seconds()})
+    return marked.groupBy("run_id").agg(*last, *more)
+
+
+def merge_positions(rows: DataFrame, *more: Column) -> DataFrame:
+    """Rows of :func:`run_positions` over parts of the lines, as one row per run."""
+    last = []
+    for n in _numbers():
+        last += [F.max(f"started{n}").alias(f"started{n}"), F.max(f"finished{n}").alias(f"finished{n}")]
+        last.append(F.max_by(f"seconds{n}", f"finished{n}").alias(f"seconds{n}"))
+    return rows.groupBy("run_id").agg(*last, *more)
+
+
+def status_of_runs(runs: DataFrame) -> DataFrame:
+    """:func:`step_status` from the positions of runs."""
     states = [
         F.struct(
             F.lit(n).alias("step"),
@@ -140,6 +155,11 @@ def current_step(status: DataFrame) -> DataFrame:
     return status.groupBy("run_id").agg(F.coalesce(reached, F.lit(1)).alias("step"))
 
 
+def ends_run(line: str = "line") -> Column:
+    """Whether a line ends its run."""
+    return F.col(line).rlike(FINISHED) | F.col(line).contains(LOST)
+
+
 def run_outcome(lines: DataFrame) -> DataFrame:
     """``(run_id, outcome, total_seconds)`` of every run.
 
@@ -149,11 +169,10 @@ def run_outcome(lines: DataFrame) -> DataFrame:
     """
     text, at = F.col("line"), F.col("line_no")
     code = F.regexp_extract(text, FINISHED, 1)
-    ended, lost = text.rlike(FINISHED), text.contains(LOST)
-    good = ended & (code == "0") & ~lost
+    good = text.rlike(FINISHED) & (code == "0") & ~text.contains(LOST)
     total = F.nullif(F.regexp_extract(text, TOTAL, 1), F.lit("")).try_cast("double")
     marked = lines.select(
-        "run_id", at.alias("at"), good.alias("good"), (ended | lost).alias("end"), total.alias("total")
+        "run_id", at.alias("at"), good.alias("good"), ends_run().alias("end"), total.alias("total")
     )
     runs = marked.groupBy("run_id").agg(
         F.max(F.when(F.col("end"), F.col("at"))).alias("ended"),

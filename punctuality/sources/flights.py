@@ -1,7 +1,7 @@
 """Flights tables: CSV in, Parquet landed."""
 
 import logging
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -63,6 +63,7 @@ def land(
     date: str = "FL_DATE",
     mode: str = "errorifexists",
     rebalance: bool = True,
+    then: Callable[[DataFrame], DataFrame] = lambda rows: rows,
 ) -> None:
     """Write a flights table as Parquet by year (``FL_YEAR``; unreadable dates apart).
 
@@ -70,11 +71,12 @@ def land(
     years and join small ones, so files have an even size whatever the input order,
     and no task writes a whole hot year. It shuffles the table; files that already
     come in order of date can do without, as their tasks meet one or two years each.
+    ``then`` is applied last, within the stage that writes.
     """
     dated = df.withColumn("FL_YEAR", year_of(date))
     if rebalance:
         dated = dated.hint("rebalance", "FL_YEAR")
-    dated.write.mode(mode).partitionBy("FL_YEAR").parquet(path)
+    then(dated).write.mode(mode).partitionBy("FL_YEAR").parquet(path)
 
 
 def read_landed(spark: SparkSession, *paths: str) -> DataFrame:

@@ -20,19 +20,9 @@ def _ordered_rows(df: DataFrame, order: list[Column], fields: list[str]) -> Colu
     ).scalar()
 
 
-def result_document(
-    causes: DataFrame,
-    top_origins: DataFrame,
-    months: DataFrame,
-    accuracy: DataFrame,
-    importance: DataFrame,
-) -> DataFrame:
-    """One row ``(analysis, machine_learning)`` holding all results of a run.
-
-    Every part is a scalar subquery over a report of bounded size, so nothing is
-    joined and nothing is collected to the driver. The accuracy is in percent.
-    """
-    analysis = F.struct(
+def _analysis(causes: DataFrame, top_origins: DataFrame, months: DataFrame) -> Column:
+    """The analyses as one structure of scalar subqueries."""
+    return F.struct(
         causes.select(F.struct(*CAUSES.values())).scalar().alias("delay_causes"),
         _ordered_rows(
             top_origins,
@@ -45,6 +35,45 @@ def result_document(
             ["Flight_Month", "Total_Flights", ARR_AVERAGE],
         ).alias("monthly_delays"),
     )
+
+
+def analysis_document(causes: DataFrame, top_origins: DataFrame, months: DataFrame) -> DataFrame:
+    """One row ``(analysis)``: the part of the result document that needs no model."""
+    return causes.sparkSession.range(1).select(_analysis(causes, top_origins, months).alias("analysis"))
+
+
+def analysis_rows(document: DataFrame) -> DataFrame:
+    """The analyses of a document as ``(part, position, name, flights, value)``, in its order."""
+    nothing = F.lit(None).cast("bigint")
+    causes = F.array(*[
+        F.struct(F.lit(n).alias("name"), nothing.alias("flights"), F.col(f"analysis.delay_causes.{n}").alias("value"))
+        for n in CAUSES.values()
+    ])
+    origins = F.transform("analysis.top_origin_delays", lambda x: F.struct(
+        F.concat_ws("|", x["ORIGIN"], x["ORIGIN_CITY_NAME"]).alias("name"), x["Total_Flights"].alias("flights"), x[DEP_AVERAGE].alias("value")
+    ))
+    months = F.transform("analysis.monthly_delays", lambda x: F.struct(
+        x["Flight_Month"].cast("string").alias("name"), x["Total_Flights"].alias("flights"), x[ARR_AVERAGE].alias("value")
+    ))
+    parts = {"delay_causes": causes, "top_origin_delays": origins, "monthly_delays": months}
+    listed = F.array(*[F.struct(F.lit(p).alias("part"), rows.alias("rows")) for p, rows in parts.items()])
+    return document.select(F.inline(listed)).select("part", F.posexplode("rows").alias("position", "row")).select(
+        "part", "position", "row.name", "row.flights", "row.value"
+    )
+
+
+def result_document(
+    causes: DataFrame,
+    top_origins: DataFrame,
+    months: DataFrame,
+    accuracy: DataFrame,
+    importance: DataFrame,
+) -> DataFrame:
+    """One row ``(analysis, machine_learning)`` holding all results of a run.
+
+    Every part is a scalar subquery over a report of bounded size, so nothing is
+    joined and nothing is collected to the driver. The accuracy is in percent.
+    """
     learning = F.struct(
         accuracy.filter("metric = 'accuracy'").select(100 * F.col("value")).scalar().alias("accuracy"),
         _ordered_rows(importance, [F.col("position")], ["feature", "impact"]).alias(
@@ -52,7 +81,7 @@ def result_document(
         ),
     )
     one_row = causes.sparkSession.range(1)
-    return one_row.select(analysis.alias("analysis"), learning.alias("machine_learning"))
+    return one_row.select(_analysis(causes, top_origins, months).alias("analysis"), learning.alias("machine_learning"))
 
 
 def publish(document: DataFrame, path: str, mode: str = "overwrite") -> None:
