@@ -180,6 +180,22 @@ def test_leaks(spark):
     assert decontaminate.leaks(docs_of(spark, []), "doc_id", "text", benchmark, "item_id", "text").count() == 0
 
 
+def test_short_items_by_their_exact_sequence(spark):
+    rng = np.random.default_rng(21)
+    items = [(1, "Seven plain words make this short item."), (2, "red green blue"), (3, "two words"), (4, "once upon once upon a")]
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    filler = [f"word{i}" for i in range(60)] + ["red", "green", "blue", "once", "upon", "a", "two", "words"]
+    rows = [(i, t) for i, t in enumerate(texts(rng, 80, filler, 5, 120))]
+    rows += [(100, f"{rows[0][1]} seven PLAIN words, make this short item {rows[1][1]}"), (101, "seven plain words make that short item"), (102, "red green blue"), (103, "x once upon once upon once upon a")]
+    found = rows_of(decontaminate.leaks(docs_of(spark, rows), "doc_id", "text", benchmark, "item_id", "text"), "doc_id", "item_id")
+    sequences = {i: decontaminate.terms(t) for i, t in items if len(decontaminate.terms(t)) >= 3}
+    want = []
+    for key, text in rows:
+        words = decontaminate.terms(text)
+        want += [(key, i) for i, s in sequences.items() if any(words[a : a + len(s)] == s for a in range(len(words)))]
+    assert found == sorted(want, key=repr) and {(100, 1), (102, 2), (103, 4)} <= set(want) and (101, 1) not in want
+
+
 def brute_leaks(text, items):
     """Items in a text by comparing every window with every passage."""
     words, half, found = decontaminate.terms(text), decontaminate.HALF, set()
