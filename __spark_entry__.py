@@ -18,7 +18,9 @@ from driver_tables import (  # noqa: E402
 )
 from oracle_queries import ORACLES  # noqa: E402
 from punctuality.functions import present  # noqa: E402
-from punctuality.operators import counts, delays, model, quantiles, run_log, sampling  # noqa: E402
+from punctuality.operators import (  # noqa: E402
+    counts, delays, encoding, interval, model, quantiles, quotas, run_log, sampling,
+)
 from punctuality.operators.asof import as_of_join  # noqa: E402
 from punctuality.operators.clean import clean, is_flown, prune  # noqa: E402
 from punctuality.plans import pipeline  # noqa: E402
@@ -113,6 +115,33 @@ def carrier_delay_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quantiles.quantiles(quantiles.merge_histograms(parts, by), by)
 
 
+def stratified_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Training and test side with exactly 70 percent of each class."""
+    labelled = model.with_label(keyed_flights(spark, sf_dir)).select("flight_id", model.LABEL)
+    split = quotas.with_quota(labelled, [model.LABEL], ["flight_id"], 700, portable=True)
+    return split.select("flight_id", model.LABEL, F.when(F.col(quotas.CHOSEN), "train").otherwise("test").alias("side"))
+
+
+def carrier_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each flight with the share of late flights of its carrier in the other folds."""
+    labelled = model.with_label(keyed_flights(spark, sf_dir)).select("flight_id", model.CARRIER, model.LABEL)
+    return encoding.encode(labelled, model.CARRIER, model.LABEL, ["flight_id"], "CARRIER_RATE", portable=True)
+
+
+def accuracy_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How well a late departure foretells a late arrival, and how sure that is."""
+    labelled = model.with_label(keyed_flights(spark, sf_dir))
+    rule = labelled.withColumn("prediction", F.when(F.col("DEP_DELAY") > 15, 1.0).otherwise(0.0))
+    return interval.accuracy_interval(rule, model.LABEL, "prediction", ["flight_id"])
+
+
+def landed_origin(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One origin of the flights as landed in clusters; other row groups are skipped."""
+    path = csv_path(spark, wide_flights(spark, sf_dir))
+    land(read_flights(spark, path), f"{path}-clustered", cluster=("ORIGIN", "OP_UNIQUE_CARRIER"))
+    return prune(read_landed(spark, f"{path}-clustered").filter("ORIGIN = 'H3'"))
+
+
 def checked_landing(spark: SparkSession, sf_dir: str) -> str:
     """Where the flights lie as landed from a CSV in which some delays are no numbers."""
     path = csv_path(spark, wide_flights(spark, sf_dir, text_delays=True))
@@ -363,6 +392,9 @@ def queries() -> dict[str, Query]:
         "sample_by_key": over(keyed_flights, portable_sample),
         "split_counts": split_counts,
         "split_by_key": split_by_key,
+        "stratified_split": stratified_split,
+        "carrier_encoding": carrier_encoding,
+        "accuracy_interval": accuracy_interval,
         "ml_input": ml_input,
         "carrier_index": over(clean_flights, model.carrier_index),
         "ml_features": over(ml_input, durable, lambda df: model.ml_features(df).drop("features")),
@@ -381,6 +413,7 @@ def queries() -> dict[str, Query]:
         "csv_inferred_delays": csv_inferred_delays,
         "first_available": first_available,
         "landed_flights": landed_flights,
+        "landed_origin": landed_origin,
         "csv_rejects": csv_rejects,
         "csv_good_flights": csv_good_flights,
         "landed_increment": landed_increment,

@@ -315,6 +315,42 @@ ORACLES |= {
     "landed_increment": f"{_FLIGHTS} {_CSV}",
     "rollup_after_updates": ORACLES["delay_rollup"],
 }
+def _key_hash(seed: int) -> str:
+    return f"(('0x' || substr(md5(concat_ws('|', '{seed}', flight_id::VARCHAR)), 1, 15))::BIGINT)"
+
+
+# Shares of 65,536 at which a Poisson number of mean 1 goes up by one.
+_POISSON = [24109, 48219, 60273, 64292, 65296, 65497, 65531, 65535]
+_NUMBER = "('0x' || substr(md5(concat_ws('|', (142 + b // 8)::VARCHAR, flight_id::VARCHAR)), 1 + 4 * (b % 8), 4))::INTEGER"
+
+ORACLES |= {
+    "landed_origin": f"{_FLIGHTS} {_CSV} WHERE ORIGIN = 'H3'",
+    "stratified_split": f"""{_LABELLED}
+        SELECT flight_id, IS_DELAYED, CASE WHEN
+            row_number() OVER (PARTITION BY IS_DELAYED ORDER BY {_key_hash(42)}, flight_id)
+            <= (count(*) OVER (PARTITION BY IS_DELAYED) * 700 + 500) // 1000 THEN 'train' ELSE 'test' END AS side
+        FROM labelled""",
+    "carrier_encoding": f"""{_LABELLED}, folded AS (
+            SELECT flight_id, OP_UNIQUE_CARRIER, IS_DELAYED, {_key_hash(44)} % 5 AS fold FROM labelled
+        )
+        SELECT flight_id, OP_UNIQUE_CARRIER, IS_DELAYED,
+            (sum(IS_DELAYED) OVER whole - sum(IS_DELAYED) OVER own + (sum(IS_DELAYED) OVER () / count(*) OVER ()) * 20.0)
+            / (count(*) OVER whole - count(*) OVER own + 20.0) AS CARRIER_RATE
+        FROM folded WINDOW whole AS (PARTITION BY OP_UNIQUE_CARRIER), own AS (PARTITION BY OP_UNIQUE_CARRIER, fold)""",
+    "accuracy_interval": f"""{_LABELLED}, ruled AS (
+            SELECT flight_id, IS_DELAYED, (IS_DELAYED = CASE WHEN DEP_DELAY > 15 THEN 1 ELSE 0 END)::INTEGER AS hit FROM labelled
+        ), replicates AS (
+            SELECT b, sum(w * hit) / sum(w) AS accuracy FROM (
+                SELECT b, hit, {" + ".join(f"({_NUMBER} >= {s})::INTEGER" for s in _POISSON)} AS w
+                FROM ruled, (SELECT unnest(range(64)) AS b)
+            ) GROUP BY b
+        ), ends AS (
+            SELECT list_sort(list(accuracy)) AS drawn FROM replicates
+        ), plain AS (SELECT count(*)::DOUBLE AS n, avg(hit) AS accuracy, avg(IS_DELAYED) AS late FROM ruled)
+        SELECT 'rows' AS metric, n AS value FROM plain UNION ALL SELECT 'accuracy', accuracy FROM plain
+        UNION ALL SELECT 'base_rate', greatest(late, 1 - late) FROM plain
+        UNION ALL SELECT 'low', drawn[2] FROM ends UNION ALL SELECT 'high', drawn[63] FROM ends""",
+}
 for _name in ("causes", "top_origin_delays", "monthly_delays"):
     _direct = "delay_causes" if _name == "causes" else _name
     ORACLES[f"rollup_{_name}"] = ORACLES[_direct]

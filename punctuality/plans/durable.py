@@ -6,14 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 def checkpoint_folder(spark: SparkSession) -> str:
     """The checkpoint folder of the session.
 
-    Clusters name a shared folder in ``spark.checkpoint.dir``. Where that is unset, a folder
-    in the warehouse is used, which all executors share too.
+    Clusters name a shared folder in ``spark.checkpoint.dir``. Where that is unset, a local session
+    uses a folder in its warehouse; elsewhere that could be a folder of one machine, so it is an error.
     """
     context = spark.sparkContext
     if folder := context.getCheckpointDir():
         return folder
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not context.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
     context.setCheckpointDir(folder)
     return context.getCheckpointDir()

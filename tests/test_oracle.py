@@ -12,7 +12,7 @@ SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
 
 DUCK_TYPES = {
     "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "float": "FLOAT",
-    "string": "VARCHAR", "boolean": "BOOLEAN",
+    "string": "VARCHAR", "boolean": "BOOLEAN", "date": "DATE",
 }
 
 
