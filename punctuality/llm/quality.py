@@ -134,8 +134,11 @@ def fit(
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for key, label, text in zip(*batch.columns, strict=True):
-                yield rows_to_batch([(label.as_py(), c) for c in chunks(key.as_py(), text.as_py(), share)], schema)
+            drawn = [
+                (label.as_py(), c) for key, label, text in zip(*batch.columns, strict=True)
+                for c in chunks(key.as_py(), text.as_py(), share)
+            ]
+            yield rows_to_batch(drawn, schema)
 
     samples: dict[int, list[bytes]] = {0: [], 1: []}
     for row in small_batches(shown).mapInArrow(cut, schema).orderBy("label", "piece").toLocalIterator():
