@@ -1,5 +1,6 @@
 """The registered text queries and the pipeline's stages on the driver's smallest tables."""
 
+import numpy as np
 import pytest
 
 import corpus_pipeline
@@ -67,6 +68,38 @@ def test_odd_documents_go_through(spark, tmp_path):
     assert {r.doc_id for r in kept.collect()} == {3, 4, None}
 
 
+def test_clashing_columns_stay(spark, docs, tmp_path):
+    """Columns that bear the names of what the stages compute come out as they went in."""
+    names = [
+        "lang_pred", "score", "n_languages", "_masked", "fp", "key", "fingerprint", "component_id", "_dropped", "cosine", "spans", "base_sha256",
+        "n_email", "keep", "node", "mark",
+    ]
+    kept = docs.selectExpr("*", *[f"CONCAT('{n}', doc_id) AS {n}" for n in names])
+    columns = kept.columns
+    for i, (_, stage) in enumerate(corpus_pipeline.STAGES[:4]):
+        path = str(tmp_path / str(i))
+        stage(spark, kept, SF_DIR).write.parquet(path)
+        kept = spark.read.parquet(path)
+        assert kept.columns == columns
+        wrong = " OR ".join(f"{n} <> CONCAT('{n}', doc_id)" for n in names)
+        assert kept.filter(wrong).count() == 0
+    stage = corpus_pipeline.STAGES[4][1](spark, kept, SF_DIR)
+    assert stage.select("doc_id").distinct().count() == kept.count()
+
+
+def test_junk_in_no_language_goes(spark, docs):
+    """Noise of letters is rejected, short unknown words and all clean documents stay."""
+    rng = np.random.default_rng(17)
+    noise = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 400)) for _ in range(20)]
+    foreign = [" ".join("".join(rng.choice(list("бвгджзклмнп"), 6)) for _ in range(60)) for _ in range(5)]
+    junk = spark.createDataFrame(
+        [(10_000 + i, t, None, "junk", len(t)) for i, t in enumerate([*noise, *foreign, "0123 456", "xqzzkv"])], docs.schema
+    )
+    kept = corpus_pipeline.STAGES[0][1](spark, docs.unionByName(junk), SF_DIR)
+    assert {r.doc_id for r in kept.filter("doc_id >= 10000").collect()} == {10_026}
+    assert kept.filter("doc_id < 10000").count() == docs.filter("text RLIKE '[A-Za-z]'").count()
+
+
 def test_stages_of_nothing(spark, docs, tmp_path):
     for i, (_, stage) in enumerate(corpus_pipeline.STAGES):
         path = str(tmp_path / str(i))
