@@ -108,6 +108,14 @@ class Model:
                 break
             chosen, share, likelihood = [*chosen, k], more, gained
             mix = share @ p[chosen]
+        # A language that joined early may have become superfluous through later ones.
+        while len(chosen) > 2:
+            rest = [[c for c in chosen if c != k] for k in chosen]
+            tried = [(likelihood - left, i, part) for i, (part, left) in enumerate(self.mixture(p[r], n, 50) for r in rest)]
+            loss, i, part = min(tried, key=lambda t: t[:2])
+            if loss > price:
+                break
+            chosen, share, likelihood = rest[i], part, likelihood - loss
         return chosen, share, likelihood
 
 

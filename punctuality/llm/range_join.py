@@ -41,6 +41,7 @@ BUCKETS = 64  # steps of distance within one radius
 SLACK = 1e-6  # far beyond the rounding of a distance
 BLOCK = 1024
 PIVOT_BYTES = 16 << 20  # most that pivots take on each executor
+SLICE_BYTES = 32 << 20  # most that the vectors of a slice take, about
 
 
 def unit(raw: list[bytes], kind: str) -> np.ndarray:
@@ -135,8 +136,9 @@ def near_vectors(
 ) -> DataFrame:
     """``vec_id, n_links, component_id, kept`` for each row.
 
-    ``cell`` classes are aimed at for a cell, at most twice ``limit`` rows are in a slice, and pivots
-    come from about ``sample`` rows by hash, which also bounds what the driver sees.
+    ``cell`` classes are aimed at for a cell, at most twice ``limit`` rows are in a slice, fewer if the
+    vectors are long, and pivots come from about ``sample`` rows by hash, which also bounds what the
+    driver sees.
     """
     if not 0.5 <= threshold < 1:
         raise ValueError("the threshold is a cosine from 0.5 to below 1")
@@ -245,7 +247,8 @@ def _cell_links(
     # A row for each cell and step of distance, whatever the number of vectors.
     steps = placed.groupBy(*side, "bucket").agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("n"), F.min("node").alias("first"))
     before = F.sum("rows").over(Window.partitionBy(*side).orderBy("bucket")) - F.col("rows")
-    steps = durable(steps.withColumn("slice", F.floor(before / limit)).withColumn("parts", F.ceil(F.col("rows") / limit)))
+    most = F.greatest(F.lit(1), F.least(F.lit(limit), F.floor(F.lit(SLICE_BYTES) / (8 * F.col("d")))))
+    steps = durable(steps.withColumn("slice", F.floor(before / most)).withColumn("parts", F.ceil(F.col("rows") / most)))
     whole = 2 * (F.col("bucket") + 1) <= BUCKETS - 1
     # Home rows within half a radius of the pivot are all linked: sums instead of pairs.
     core = steps.filter(F.col("home") & whole).groupBy("d", "cell").agg(F.sum("n").alias("core_n"), F.min("first").alias("core_first"))

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 FINE = 3  # bits that are levels of their own; those before them are the first level
 FEW = 16  # one of so many candidates may be left for exact scores
+BLOCK_BYTES = 32 << 20  # most that a block's vectors and levels take, about
 TOGETHER = 64  # queries that share a pass over the segments
 SCALE = 256
 
@@ -98,7 +99,9 @@ def top_k(
     """``query_id, rank, vec_id, score``: the best ``k`` for each row whose id ``every`` divides."""
     rows = integers(df, id_col, vector_col)
     queries = rows.filter(F.col("id") % every == 0).dropDuplicates(["id", "v"])
-    n, m = rows.count(), queries.count()
+    n, longest = rows.agg(F.count(F.lit(1)), F.coalesce(F.max(F.size("v")), F.lit(1))).first()
+    m = queries.count()
+    block = max(64, min(block, BLOCK_BYTES // (8 * (FINE + 2) * max(1, longest))))
     blocks, query_blocks = max(1, -(-n // block)), max(1, -(-m // query_block))
 
     def dealt(table: DataFrame, own: str, parts: int, other: str, others: int) -> DataFrame:
