@@ -86,8 +86,8 @@ class Move:
     offset: int
 
 
-def plan(counts: dict[int, int], size: int) -> tuple[dict[int, list[Move]], int]:
-    """Best fit by descending length for ``counts`` documents of each length, and the number of sequences."""
+def plan(counts: dict[int, int], size: int) -> dict[int, list[Move]]:
+    """Best fit by descending length for ``counts`` documents of each length."""
     gaps: list[list[tuple[int, int]]] = [[] for _ in range(size + 1)]
     opened, moves = 0, {}
     for length in sorted(counts, reverse=True):
@@ -113,7 +113,7 @@ def plan(counts: dict[int, int], size: int) -> tuple[dict[int, list[Move]], int]
                 gaps[gap - rest * length].append((first + full, 1))
             left, rank = left - count, rank + count
         moves[length] = made
-    return moves, opened
+    return moves
 
 
 def place(found: DataFrame, size: int) -> DataFrame:
@@ -121,7 +121,8 @@ def place(found: DataFrame, size: int) -> DataFrame:
     parts = found.filter("own IS NOT NULL").groupBy("length", "task").agg(F.count(F.lit(1)).alias("n"))
     # Fewer than ``size`` rows.
     counts = {r.length: r.n for r in parts.groupBy("length").agg(F.sum("n").alias("n")).collect()}
-    moves, opened = plan(counts, size)
+    moves = plan(counts, size)
+    opened = max((m.first + -(-m.count // m.each) for made in moves.values() for m in made), default=0)
     table = {
         length: tuple(np.array([getattr(m, f) for m in made]) for f in ("rank", "first", "each", "offset"))
         for length, made in moves.items()
