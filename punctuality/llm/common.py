@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 # Word borders of the contracts: space, tab, line feed, vertical tab, form feed, return.
 WORD = r"[^\x20\x09-\x0D]+"
 
-BATCH_BYTES, SPARKS_OWN = "8m", "67108864b"
+BATCH_BYTES, SPARKS_OWN = "2m", "67108864b"
 
 
 def remainder(key: Column, divisor: int) -> Column:
@@ -28,7 +28,7 @@ def sampled(key: Column, bound: Column | int, total: Column | int) -> Column:
 
 
 def small_batches(df: DataFrame) -> DataFrame:
-    """``df``, in a session that hands texts to Python in batches of some megabytes.
+    """``df``, in a session that hands texts to Python in batches of two megabytes.
 
     Several copies of a batch are in memory at a time, outside the heap and in each worker, so
     Spark's own bound of 64 MB takes most of what a small executor has. A bound that the session

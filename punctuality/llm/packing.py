@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from punctuality.llm.common import fields, rows_to_batch, small_batches
-from punctuality.llm.tokens import Encoder
+from punctuality.llm.tokens import Encoder, release
 from punctuality.plans.durable import checkpoint_folder
 
 BATCH_BYTES = 4 << 20  # of ids that a task gathers
@@ -134,6 +134,7 @@ def place(found: DataFrame, size: int) -> DataFrame:
     )
 
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()  # the tokenizer and its recent pieces; nothing is encoded any more
         for batch in batches:
             length, rank = batch.column(3).to_numpy(), batch.column(5).to_numpy()
             sequence, offset = np.empty(len(rank), np.int64), np.zeros(len(rank), np.int64)

@@ -9,6 +9,7 @@ texts with special tokens or control characters that split differently go to the
 
 from __future__ import annotations
 
+import gc
 import json
 import os
 import re
@@ -71,6 +72,14 @@ def in_latin(pattern: str) -> str:
     return "".join([*found, pattern[at:]])
 
 
+def release() -> None:
+    """Give back what :func:`of_worker` holds; for stages that follow an encoding one in the same workers."""
+    holder = sys.modules.get("_of_text_worker")
+    if holder is not None and holder.__dict__.pop("name", None):
+        del holder.__dict__["value"]
+        gc.collect()
+
+
 class Recent:
     """Ids by piece, for the pieces used last: two generations, of which the older goes when the
     younger is full, so that what is used often stays and the memory is bounded."""
