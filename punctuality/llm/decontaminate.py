@@ -1,15 +1,20 @@
 """Benchmark passages in documents, by latent semantic retrieval.
 
 The collection is the benchmark: items, or parts of long ones, as TF-IDF vectors whose inverse
-frequencies are counted over all documents. A distributed randomised SVD gives the latent space:
+frequencies are counted over all documents. A distributed randomised SVD gives latent spaces:
 tasks multiply passages by a random matrix, the range of the products is made orthogonal, and tasks
 that each hold some terms project the matrix on it. Every document then goes past in overlapping
 windows. A leak is a window near which the longest common subsequence of words covers the item, or
 covers a good part of it and the item's answer (its last sentence) is there too, as in a paraphrase.
 
-Candidates are proven, whatever the sizes of benchmark, corpus and items: of an item's rarest words
-(its anchors) every leak has a known number, and all windows near so many are compared. The latent
-space tells how near a leak is to the item (``cosine``) and decides nothing.
+Candidates come from search in the latent spaces: a window and its neighbourhood are projected like a
+passage, and a passage is retrieved where its inner product with them reaches its floor. That is the
+least that the words of a leak can give, less a bound of what the space has lost of the passage, so no
+leak is below it. A cosine has no such floor, as other words around a copy lower it without limit; the
+one reported tells how near a leak is to the item. A space holds no more passages than it has
+dimensions, so that it loses next to nothing and the floor stays sharp for benchmarks of any size.
+Of the windows retrieved, those go on to the comparison that also have as many of the passage's rarest
+words (its anchors) as every leak has.
 
 The benchmark is taken in blocks of bounded size, each against all documents.
 
@@ -44,13 +49,21 @@ HALF = 16  # windows are two halves long and start at each half
 BLOCK = 1024  # passages that are searched together
 REACH = 2 * HALF + 2 * PART  # a window and its neighbourhood on both sides
 STRETCH = 1 << 16  # words of texts whose anchors are sorted together
+HALVES = 1 << 10  # halves of windows that are projected together
+ROUNDING = 1e-4  # of single precision, for each unit of weight in a window
 SENTENCE = re.compile(r"(?<=[.?!])\s+")
 MARKS = re.compile(r"[^\w\s]+|_+")
 
 
+ASCII_MARKS = "".join(c for c in map(chr, range(128)) if MARKS.match(c)).encode()
+OTHER_MARKS = re.compile(r"[^\w\s]+")
+
+
 def terms(text: str) -> list[str]:
     """The words of a text in lower case, without what is neither letter nor digit."""
-    return MARKS.sub("", text.lower()).split()
+    # Most marks are single bytes, which are taken out without a look at the characters.
+    text = text.lower().encode("utf-8", "surrogatepass").translate(None, ASCII_MARKS).decode("utf-8", "surrogatepass")
+    return (text if text.isascii() else OTHER_MARKS.sub("", text)).split()
 
 
 @dataclass
@@ -92,6 +105,36 @@ def masks_of(ids: list[int]) -> dict[int, int]:
     return masks
 
 
+def least_words(size: int, part: float) -> int:
+    """How many words of a passage every leak has in order."""
+    return next(n for n in range(size + 1) if n / size >= part) if size >= LEAST else size
+
+
+@dataclass
+class Space:
+    """The latent space of some passages of a block."""
+
+    first: int  # place of the first of these passages in the block
+    rows: np.ndarray  # row of each term of the block; terms of other spaces only have the last one
+    terms: np.ndarray  # weighted terms by latent dimensions, the last row zero
+    passages: np.ndarray  # their vectors by latent dimensions
+    lost: np.ndarray  # length of what the space has lost of each
+    gains: list[np.ndarray]  # what each word of a passage adds to the inner product with it, ascending
+
+
+def sums(table: np.ndarray, rows: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The sums of rows of a table, ``counts`` of them at a time."""
+    order = np.argsort(-counts, kind="stable")
+    counts, first = counts[order], (np.cumsum(counts) - counts)[order]
+    added = np.zeros((len(counts), table.shape[1]), table.dtype)
+    for i in range(int(counts.max(initial=0))):
+        n = np.searchsorted(-counts, -i)  # so many have a row more
+        added[:n] += table[rows[first[:n] + i]]
+    made = np.empty_like(added)
+    made[order] = added
+    return made
+
+
 @dataclass
 class Matcher:
     """Finds the passages of one block in whole texts."""
@@ -99,8 +142,8 @@ class Matcher:
     passages: list[Passage]
     vocabulary: dict[str, int]
     found: np.ndarray  # windows with each term; decides which words are anchors, not what is found
-    space: np.ndarray  # weighted terms by latent dimensions, the last row zero
-    latent: np.ndarray  # unit rows, one for each passage
+    idf: np.ndarray  # weight of each term
+    spaces: list[Space]
     whole: float = 0.8
     part: float = 0.6
 
@@ -115,7 +158,7 @@ class Matcher:
         for p, (count, size) in enumerate(zip(self.counts, self.sizes.tolist(), strict=True)):
             # A leak has ``least`` words of the passage in order. The words that are no anchors
             # give ``least - need`` of them at most, so ``need`` or more are anchors.
-            least = next(n for n in range(size + 1) if n / size >= self.part) if size >= LEAST else size
+            least = least_words(size, self.part)
             self.need[p] = max(1, least // 4)
             rest = size
             for w in sorted(count, key=lambda w: (self.found[w], w)):
@@ -126,20 +169,72 @@ class Matcher:
         term, passage = np.array(sorted(posts), np.int64).reshape(-1, 2).T
         self.posts, self.n_posts = passage, np.bincount(term, minlength=len(self.vocabulary) + 1)
         self.first_post = np.cumsum(self.n_posts) - self.n_posts
+        self.around = -(-self.sizes // HALF)  # halves that hold a neighbourhood, on each side
+        self.floors = np.array([
+            gains[: least_words(len(gains), self.part)].sum() for space in self.spaces for gains in space.gains
+        ])
 
     def encode(self, text: str | None) -> np.ndarray:
         """A number for each term of the text."""
         return np.array(list(map(self.vocabulary.get, terms(text or ""), repeat(len(self.vocabulary)))), np.int64)
 
-    def candidates(self, encoded: list[np.ndarray]) -> dict[tuple[int, int], set[int]]:
-        """Halves where a window starts, by text and passage: all whose neighbourhood has the anchors a leak needs."""
+    def retrieved(self, encoded: list[np.ndarray]) -> Iterator[np.ndarray]:
+        """Rows of (half, passage), ascending: windows whose neighbourhood reaches the passage's floor in its latent space.
+
+        Halves of all texts are numbered through. A leak has words that give the floor, no word takes
+        from an inner product, and what a space has lost of a passage is at most its length times that of
+        the window's vector; so all windows of leaks are there. At the ends of a text the next one's
+        words are seen too, which retrieves more, never less.
+        """
+        sizes = np.array([len(x) for x in encoded], np.int64)
+        n_halves = -(-sizes // HALF)
+        first = np.cumsum(n_halves) - n_halves
+        ids = np.concatenate(encoded)
+        within = np.arange(len(ids)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        half = np.repeat(first, sizes) + within // HALF
+        known = ids < len(self.vocabulary)
+        ids, half = ids[known], half[known]
+        floors = np.nextafter(self.floors.astype(np.float32), np.float32(-1))
+        end, most = int(n_halves.sum()), int(self.around.max(initial=0))
+        for start in range(0, end, HALVES):
+            stop = min(start + HALVES, end)
+            low = start - most  # the first half in a neighbourhood; halves before and after all texts are empty
+            a, b = np.searchsorted(half, (low, stop + most + 1))
+            place, word, n = half[a:b] - low, ids[a:b], stop - start
+            made = []
+            for space in self.spaces:
+                row = space.rows[word]
+                inside = np.flatnonzero(row < len(space.terms) - 1)
+                if not len(inside):
+                    continue
+                at, size = place[inside], n + 2 * most + 1
+                halves = np.column_stack((
+                    sums(space.terms, row[inside], np.bincount(at, minlength=size)),
+                    np.bincount(at, self.idf[word[inside]], size).astype(np.float32),
+                ))
+                own = slice(space.first, space.first + len(space.lost))
+                around = halves[most : most + n] + halves[most + 1 : most + 1 + n]
+                for reach in range(1, most + 1):
+                    around += halves[most - reach : most - reach + n]
+                    around += halves[most + 1 + reach : most + 1 + reach + n]
+                    of = np.flatnonzero(self.around[own] == reach)
+                    if len(of):
+                        vectors = np.column_stack((space.passages[of], space.lost[of] + ROUNDING)).astype(np.float32)
+                        at, p = np.nonzero(around @ vectors.T >= floors[own][of])
+                        made.append(np.column_stack((start + at, space.first + of[p])))
+            if made:
+                rows = np.concatenate(made)
+                yield rows[np.lexsort((rows[:, 1], rows[:, 0]))]
+
+    def anchored(self, encoded: list[np.ndarray]) -> np.ndarray:
+        """Rows of (text, passage, first and last half) where the neighbourhoods of windows have the anchors a leak needs."""
         sizes = np.array([len(x) for x in encoded], np.int64)
         # Texts lie so far apart that no neighbourhood reaches the next one.
         base = np.cumsum(sizes + REACH) - sizes - REACH
         ids = np.concatenate(encoded)
         at = np.flatnonzero(self.n_posts[ids])
         place, ids = at + (np.repeat(np.arange(len(sizes)), sizes) * REACH)[at], ids[at]
-        found: dict[tuple[int, int], set[int]] = {}
+        found = [np.empty((0, 4), np.int64)]
         end = int(place[-1]) + 1 if len(place) else 0
         for start in range(0, end, STRETCH):
             a, b = np.searchsorted(place, (start, start + STRETCH + REACH))
@@ -156,9 +251,26 @@ class Matcher:
             final = np.maximum(-(-sizes[text] // HALF) - 2, 0)
             lowest = np.maximum(-((2 * HALF + size - 1 - high) // HALF), 0)
             highest = np.minimum((low + size) // HALF, final)
-            for t, p, x, y in np.unique(np.column_stack((text, passage, lowest, highest)), axis=0).tolist():
-                if x <= y:
-                    found.setdefault((t, p), set()).update(range(x, y + 1))
+            rows = np.unique(np.column_stack((text, passage, lowest, highest)), axis=0)
+            found.append(rows[rows[:, 2] <= rows[:, 3]])
+        return np.concatenate(found)
+
+    def candidates(self, encoded: list[np.ndarray]) -> dict[tuple[int, int], set[int]]:
+        """Halves where a window starts, by text and passage: those retrieved that have the anchors."""
+        n_halves = np.array([-(-len(x) // HALF) for x in encoded], np.int64)
+        first = np.cumsum(n_halves) - n_halves
+        # Starts and ends of the anchors' ranges, by passage and half; a retrieved half lies in one if more have begun than ended.
+        text, passage, lowest, highest = self.anchored(encoded).T
+        width = int(n_halves.sum()) + 1
+        begun = np.sort(passage * width + first[text] + lowest)
+        ended = np.sort(passage * width + first[text] + highest)
+        found: dict[tuple[int, int], set[int]] = {}
+        for rows in self.retrieved(encoded):
+            key = rows[:, 1] * width + rows[:, 0]
+            rows = rows[np.searchsorted(begun, key, "right") > np.searchsorted(ended, key, "left")]
+            texts = np.searchsorted(first, rows[:, 0], "right") - 1
+            for t, p, half in zip(texts.tolist(), rows[:, 1].tolist(), (rows[:, 0] - first[texts]).tolist(), strict=True):
+                found.setdefault((t, p), set()).add(half)
         return found
 
     def cosine(self, p: int, ids: np.ndarray, half: int) -> float:
@@ -167,12 +279,15 @@ class Matcher:
         Words that no passage has are not in that space and don't count, however rare or common.
         """
         size = len(self.ids[p])
-        near = self.space[ids[max(0, half * HALF - size) : half * HALF + 2 * HALF + size]]
+        space = next(x for x in reversed(self.spaces) if x.first <= p)
+        latent = space.passages[p - space.first]
+        latent = latent / max(np.linalg.norm(latent), 1e-12)
+        near = space.terms[space.rows[ids[max(0, half * HALF - size) : half * HALF + 2 * HALF + size]]]
         sums = np.vstack((np.zeros((1, near.shape[1])), np.cumsum(near, 0, np.float64)))
         size = min(size, len(near))
         stretches = sums[size:] - sums[: len(sums) - size]
         norm = np.maximum(np.linalg.norm(stretches, axis=1), 1e-12)
-        return float((stretches @ self.latent[p] / norm).max())
+        return float((stretches @ latent / norm).max())
 
     def search(self, texts: list[str | None]) -> list[list[tuple[int, float, float, float, int]]]:
         """For each text: item, cosine, covered share of the passage, of its answer, and first word; best per item."""
@@ -220,7 +335,7 @@ def blocks(benchmark: DataFrame, id_col: str, text_col: str) -> Iterator[list[Pa
 
 def frequencies(docs: DataFrame, text_col: str, vocabulary: dict[str, int]) -> tuple[np.ndarray, int]:
     """In how many windows of all documents each term is, and how many windows there are."""
-    counter = Matcher([], vocabulary, *[np.empty(0)] * 3)
+    counter = Matcher([], vocabulary, *[np.empty(0)] * 2, [])
     schema = fields("term bigint, n bigint")
     size, width = len(vocabulary), 2 * HALF
 
@@ -290,23 +405,37 @@ def latent_space(
 
 
 def matcher(docs: DataFrame, text_col: str, passages: list[Passage], rank: int = 256) -> Matcher:
-    """The latent space of some passages, with frequencies counted over all ``docs``."""
+    """The latent spaces of some passages, ``rank`` in each, with frequencies counted over all ``docs``."""
     vocabulary: dict[str, int] = {}
     for p in passages:
         for w in p.words:
             vocabulary.setdefault(w, len(vocabulary))
     found, windows = frequencies(docs, text_col, vocabulary)
     idf = np.log((windows + 1) / (found + 0.5))
-    rows = []
-    for i, p in enumerate(passages):
-        ids, n = np.unique([vocabulary[w] for w in p.words], return_counts=True)
-        weight = n * idf[ids]
-        rows.append((i, ids.tolist(), (weight / (np.linalg.norm(weight) or 1)).tolist()))
-    basis = latent_space(docs, rows, len(vocabulary), rank)
-    latent = np.array([np.array(w) @ basis[t] for _, t, w in rows])
-    latent /= np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-12)
-    space = np.vstack((basis * idf[:, None], np.zeros((1, basis.shape[1]))))
-    return Matcher(passages, vocabulary, found, space.astype(np.float32), latent.astype(np.float32))
+    spaces = []
+    for first in range(0, len(passages), rank):
+        counted = [
+            np.unique([vocabulary[w] for w in p.words], return_counts=True) for p in passages[first : first + rank]
+        ]
+        own = np.unique(np.concatenate([ids for ids, _ in counted]))
+        row = np.full(len(vocabulary) + 1, len(own), np.int32)
+        row[own] = np.arange(len(own))
+        weights = [n * idf[ids] for ids, n in counted]
+        weights = [w / (np.linalg.norm(w) or 1) for w in weights]
+        rows = [(i, row[ids].tolist(), w.tolist()) for i, ((ids, _), w) in enumerate(zip(counted, weights, strict=True))]
+        basis = latent_space(docs, rows, len(own), rank)
+        latent, lost = [], []
+        for (ids, _), w in zip(counted, weights, strict=True):
+            latent.append(w @ basis[row[ids]])
+            rest = -(basis @ latent[-1])
+            rest[row[ids]] += w
+            lost.append(np.linalg.norm(rest))
+        spaces.append(Space(
+            first, row, np.vstack((basis * idf[own, None], np.zeros((1, basis.shape[1])))).astype(np.float32),
+            np.array(latent, np.float32), np.array(lost),
+            [np.sort(np.repeat(idf[ids] * w, n)) for (ids, n), w in zip(counted, weights, strict=True)],
+        ))
+    return Matcher(passages, vocabulary, found, idf, spaces)
 
 
 LEAKS = "doc_id bigint, item_id bigint, cosine double, lcs_share double, answer_share double, first_word bigint"

@@ -255,6 +255,46 @@ def test_short_copies_among_other_words(spark, corpus):
     assert all(r.cosine == pytest.approx(1, abs=1e-5) for r in found)
 
 
+def test_candidates_come_from_the_latent_spaces(spark):
+    """Search in the spaces retrieves each window of a leak; without the spaces nothing is found."""
+    rng = np.random.default_rng(31)
+    odds = 1 / np.arange(1, 3001)
+
+    def drawn(n):
+        return [f"w{i}" for i in rng.choice(3000, n, p=odds / odds.sum())]
+
+    items = [drawn(rng.integers(3, 150)) for _ in range(60)]
+    passages = [p for i, body in enumerate(items) for p in decontaminate.passages_of(i, " ".join(body))]
+    rows = [" ".join([*drawn(rng.integers(0, 90)), *body, *drawn(rng.integers(0, 90))]) for body in items]
+    rows += ["", None, "w1", *(" ".join(w for w in drawn(90) for _ in range(3)) for _ in range(20))]
+    block = decontaminate.matcher(docs_of(spark, list(enumerate(rows))), "text", passages, rank=16)
+    assert len(block.spaces) == -(-len(passages) // 16) > 3 and all(space.lost.max() < 1e-4 for space in block.spaces)
+    encoded = [block.encode(t) for t in rows]
+    retrieved = {tuple(x) for part in block.retrieved(encoded) for x in part.tolist()}
+    first, leaks = 0, 0
+    for ids in encoded:
+        for p, (mask, size) in enumerate(zip(block.masks, block.sizes.tolist(), strict=True)):
+            least = 0.6 * size if size >= decontaminate.LEAST else size
+            for half in range(max(1, -(-len(ids) // 16) - 1) if len(ids) else 0):
+                near = ids[max(0, half * 16 - size) : half * 16 + 32 + size].tolist()
+                if decontaminate.common_length(mask, size, near) >= least:
+                    assert (first + half, p) in retrieved
+                    leaks += 1
+        first += -(-len(ids) // 16)
+    assert leaks >= 60 and len(retrieved) < first * len(passages) / 2
+    found = [{leak[0] for leak in leaks} for leaks in block.search(rows)]
+    assert all(i in items for i, items in zip(range(60), found, strict=False))
+    for space in block.spaces:
+        space.passages[:] = 0
+    assert not any(block.search(rows))
+
+
+def test_terms_are_those_of_the_pattern():
+    text = "".join(map(chr, [*range(0x3000), 0xA0, 0x130, 0xD7FF, 0xFF3F, 0x1F600, 0x20000]))
+    for part in (text, text[:128], "A_b-c d—e\x1cf", "", "İ_x"):
+        assert decontaminate.terms(part) == decontaminate.MARKS.sub("", part.lower()).split()
+
+
 def test_common_length():
     def plain(a, b):
         row = [0] * (len(b) + 1)
