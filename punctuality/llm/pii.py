@@ -2,12 +2,14 @@
 
 The patterns find the base spans. Tokens that hold a digit or an @ are the field's nodes. Their
 potentials come from the shape of the token, neighbours share one along the text, and distant tokens
-that repeat or resemble each other share one across it. Loopy message passing then carries a label
-from a token that a pattern found to its likes that none did; what becomes sure is added. Base spans
-are evidence and always stay. The weights are learnt from what the patterns find in a sample.
+that repeat or resemble each other share one across it: two directly, more by way of a node of their
+own, so that a label reaches all of them wherever they are. Loopy message passing then carries a label
+from a token that a pattern found to its likes that none did; what becomes sure is added. Every text
+with nodes is passed through the field, and until the messages settle. Base spans
+are evidence and always stay. The weights are learnt from what the patterns find in all texts.
 
 Cases: a null text is empty. Rows without an id and repeated rows are scanned like others, very long
-texts whole. An empty table gives no rows, and without a sample nothing is added to the base. Other
+texts whole. An empty table gives no rows, and a field learnt from none adds nothing to the base. Other
 columns stay where whole rows are returned; clashing names are replaced.
 """
 
@@ -16,7 +18,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +38,10 @@ IP = re.compile(r"(?<![0-9])[0-9]+(?:\.[0-9]+){3}")
 CARD = re.compile(r"(?<![0-9])[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGIT = re.compile(r"[0-9]")
-NODE = re.compile(r"[^\s,;:!?\"'<>\[\]{}|]*[0-9@][^\s,;:!?\"'<>\[\]{}|]*")
+# Whole tokens only are tried, so that long ones without a digit take no more than linear time.
+NODE = re.compile(
+    r"(?<![^\s,;:!?\"'<>\[\]{}|])[^\s,;:!?\"'<>\[\]{}|0-9@]*+[0-9@][^\s,;:!?\"'<>\[\]{}|]*"
+)
 
 
 def luhn(digits: str) -> bool:
@@ -109,11 +114,19 @@ class Graph:
     shapes: np.ndarray
     labels: np.ndarray  # 0: no base span covers the token
     chain: np.ndarray
-    skip: np.ndarray
+    skip: np.ndarray  # two tokens that resemble each other
+    shared: np.ndarray = field(default_factory=lambda: np.empty((0, 2), np.int64))  # token, and number of its group, of three or more
+
+    def repeats(self) -> np.ndarray:
+        """Each token and the next one like it."""
+        next_one = self.shared[1:, 1] == self.shared[:-1, 1]
+        return np.concatenate((self.skip, np.column_stack((self.shared[:-1, 0], self.shared[1:, 0]))[next_one]))
 
 
 def graph(text: str, base: list[Span]) -> Graph | None:
     """Nodes and edges of a text, or None if it has no node."""
+    if "@" not in text and not DIGIT.search(text):
+        return None
     nodes = [(m.start(), m.end()) for m in NODE.finditer(text)]
     if not nodes:
         return None
@@ -123,18 +136,17 @@ def graph(text: str, base: list[Span]) -> Graph | None:
     for kind, a, b in base:
         labels[np.searchsorted(ends, a, "right") : np.searchsorted(starts, b, "left")] = kind + 1
     near = np.flatnonzero(starts[1:] - ends[:-1] <= 24)
-    last: dict[str, int] = {}
-    skip = []
+    alike: dict[str, list[int]] = {}
     for i, (a, b) in enumerate(nodes):
         like = likeness(text[a:b])
         if len(like) >= 4:
-            if like in last:
-                skip.append((last[like], i))
-            last[like] = i
+            alike.setdefault(like, []).append(i)
+    skip = [group for group in alike.values() if len(group) == 2]
+    shared = [(i, n) for n, group in enumerate(g for g in alike.values() if len(g) > 2) for i in group]
     shapes = np.array([shape(text[a:b]) for a, b in nodes])
     return Graph(
         starts.tolist(), ends.tolist(), shapes, labels, np.column_stack((near, near + 1)),
-        np.array(skip, np.int64).reshape(-1, 2),
+        np.array(skip, np.int64).reshape(-1, 2), np.array(shared, np.int64).reshape(-1, 2),
     )
 
 
@@ -150,30 +162,51 @@ class Field:
     chain: np.ndarray  # label by label
     skip: float  # for equal labels across the text
 
-    def beliefs(self, g: Graph, rounds: int = 12) -> np.ndarray:
-        """Marginals of the labels by loopy message passing, base spans being given."""
-        unary = features(g.shapes) @ self.node
-        unary[g.labels > 0] = -50.0
-        unary[g.labels > 0, g.labels[g.labels > 0]] = 0.0
-        pair = np.concatenate((np.repeat(self.chain[None], len(g.chain), 0), np.repeat((self.skip * np.eye(N_LABELS))[None], len(g.skip), 0)))
-        edges = np.concatenate((g.chain, g.skip))
+    def beliefs(self, g: Graph, rounds: int = 200) -> np.ndarray:
+        """Marginals of the labels by loopy message passing, base spans being given.
+
+        Messages are passed on until they settle. Neighbours alone have no loops, so theirs do by
+        themselves; else each moves half its way only, and after ``rounds`` without rest half as far again.
+        """
+        nodes = len(g.shapes)
+        unary = np.zeros((nodes + int(g.shared[:, 1].max(initial=-1)) + 1, N_LABELS))
+        unary[:nodes] = features(g.shapes) @ self.node
+        given = np.flatnonzero(g.labels > 0)
+        unary[given] = -50.0
+        unary[given, g.labels[given]] = 0.0
+        edges = np.concatenate((g.chain, g.skip, g.shared + [0, nodes])).astype(np.int64)
+        if not len(edges):
+            return np.exp(unary - np.logaddexp.reduce(unary, axis=1, keepdims=True))
+        # By way of their group, two tokens share as much as by a direct edge.
+        equal = np.exp(self.skip)
+        way = np.log(equal + np.sqrt(equal**2 + (N_LABELS - 2) * equal - N_LABELS + 1))
+        alike = np.eye(N_LABELS)[None]
+        pair = np.concatenate((
+            np.repeat(self.chain[None], len(g.chain), 0), np.repeat(self.skip * alike, len(g.skip), 0),
+            np.repeat(way * alike, len(g.shared), 0),
+        ))
         source, target = np.concatenate((edges[:, 0], edges[:, 1])), np.concatenate((edges[:, 1], edges[:, 0]))
         pair = np.concatenate((pair, pair.transpose(0, 2, 1)))
         n = len(edges)
         back = np.concatenate((np.arange(n) + n, np.arange(n)))
         message = np.zeros((2 * n, N_LABELS))
         total = unary.copy()
-        for _ in range(rounds):
+        loops, done = len(g.skip) + len(g.shared) > 0, 0
+        step = 0.5 if loops else 1.0
+        while True:
             out = total[source] - message[back]
             new = np.logaddexp.reduce(out[:, :, None] + pair, axis=1)
             new -= np.logaddexp.reduce(new, axis=1, keepdims=True)
-            moved = np.abs(new - message).max(initial=0.0)
-            message = 0.5 * message + 0.5 * new
+            move = step * (new - message)
+            message += move
             total = unary.copy()
             np.add.at(total, target, message)
-            if moved < 1e-3:
+            done += 1
+            if np.abs(move).max() < 1e-4:
                 break
-        return np.exp(total - np.logaddexp.reduce(total, axis=1, keepdims=True))
+            if loops and done % rounds == 0:
+                step /= 2
+        return np.exp(total - np.logaddexp.reduce(total, axis=1, keepdims=True))[:nodes]
 
 
 def learn(counts: dict[tuple[int, int, int], int], ridge: float = 1.0) -> Field:
@@ -198,11 +231,12 @@ def learn(counts: dict[tuple[int, int, int], int], ridge: float = 1.0) -> Field:
     return Field(weights, np.clip(chain, -2, 2), float(np.clip(np.log((equal + 1) / (other + 1)), 0, 6)))
 
 
-def fit(df: DataFrame, key_col: str, text_col: str, rows: int = 20_000) -> Field:
-    """Learn from about ``rows`` documents, drawn by hash of the key; only counts reach the driver."""
-    total = df.count()
-    key = F.coalesce(F.col(key_col).cast("string"), F.lit(""))
-    drawn = small_batches(df).filter(sampled(key, rows, max(1, total))).select(text_col)
+def fit(df: DataFrame, key_col: str, text_col: str, rows: int | None = None) -> Field:
+    """Learn from all documents, or about ``rows`` of them, drawn by hash of the key; only counts reach the driver."""
+    drawn = small_batches(df)
+    if rows is not None:
+        key = F.coalesce(F.col(key_col).cast("string"), F.lit(""))
+        drawn = drawn.filter(sampled(key, rows, max(1, df.count())))
     schema = fields("k int, a int, b int, n bigint")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -215,21 +249,19 @@ def fit(df: DataFrame, key_col: str, text_col: str, rows: int = 20_000) -> Field
                 label = g.labels
                 seen = [(0, int(s), int(b)) for s, b in zip(g.shapes, label, strict=True)]
                 seen += [(1, int(label[i]), int(label[j])) for i, j in g.chain]
-                seen += [(2, 0, int(label[i] == label[j])) for i, j in g.skip if label[i] or label[j]]
+                seen += [(2, 0, int(label[i] == label[j])) for i, j in g.repeats() if label[i] or label[j]]
                 for s in seen:
                     sums[s] = sums.get(s, 0) + 1
         yield rows_to_batch([(*k, n) for k, n in sums.items()], schema)
 
-    found = drawn.mapInArrow(count, schema).groupBy("k", "a", "b").agg(F.sum("n").alias("n"))
+    found = drawn.select(text_col).mapInArrow(count, schema).groupBy("k", "a", "b").agg(F.sum("n").alias("n"))
     return learn({(r.k, r.a, r.b): r.n for r in found.collect()})  # at most 2 ** N_SHAPE shapes by label
 
 
 def spans(text: str | None, field: Field, sure: float = 0.9) -> tuple[list[Span], list[Span]]:
     """Base spans, and those the field adds: tokens that no base span covers."""
     base = base_spans(text) if text else []
-    if not base:
-        return base, []  # without evidence there is nothing to be consistent with
-    g = graph(text, base)
+    g = graph(text, base) if text else None
     if g is None or not (g.labels == 0).any():
         return base, []
     belief = field.beliefs(g)

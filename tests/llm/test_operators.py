@@ -662,3 +662,55 @@ def test_field_adds_and_keeps(spark):
     redacted = pii.redact(docs, "text", field)
     assert redacted.columns == docs.columns and redacted.count() == docs.count()
     assert pii.scan(docs_of(spark, []), "text", field).count() == 0
+
+
+def test_field_is_run_on_every_text_until_it_settles(spark):
+    # Without a base span, what the shape alone makes sure is added; a text without a node has no field.
+    shaped = pii.Field(np.zeros((pii.N_SHAPE, pii.N_LABELS)), np.zeros((pii.N_LABELS, pii.N_LABELS)), 0.0)
+    shaped.node[14, 2] = 9.0  # three dots
+    assert pii.spans("only 300.400.500.600 here", shaped) == ([], [(1, 5, 20)])
+    assert pii.masked("only 300.400.500.600 here", shaped) == "only [IP] here"
+    assert pii.spans("no digit here", shaped) == pii.spans("", shaped) == pii.spans(None, shaped) == ([], [])
+    # A label reaches all repeats, however many lie between.
+    sure = pii.Field(np.zeros((pii.N_SHAPE, pii.N_LABELS)), np.zeros((pii.N_LABELS, pii.N_LABELS)), 6.0)
+    gap = " and then a good many other words "
+    text = "+1 555 0109999" + (gap + "0109999") * 40
+    base, added = pii.spans(text, sure)
+    assert len(base) == 1 and len(added) == 40 and all(k == 3 and text[a:b] == "0109999" for k, a, b in added)
+    # Two repeats share as much by way of their group as by a direct edge.
+    shapes, labels, none = np.ones(2, np.int64), np.array([4, 0]), np.empty((0, 2), np.int64)
+    direct = pii.Graph([0] * 2, [0] * 2, shapes, labels, none, np.array([[0, 1]]))
+    grouped = pii.Graph([0] * 2, [0] * 2, shapes, labels, none, none, np.array([[0, 0], [1, 0]]))
+    for skip in (0.0, 0.7, 3.6, 6.0):
+        alike = pii.Field(sure.node, sure.chain, skip)
+        assert np.allclose(alike.beliefs(direct), alike.beliefs(grouped), atol=1e-3)
+    # Messages settle on a long chain and among strong loops.
+    chain = np.column_stack((np.arange(199), np.arange(1, 200)))
+    strong = pii.Field(sure.node, np.where(np.eye(pii.N_LABELS) > 0, 12.0, 0.0), 0.0)
+    labels = np.zeros(200, np.int64)
+    labels[0] = 2
+    line = pii.Graph([0] * 200, [0] * 200, np.ones(200, np.int64), labels, chain, none)
+    assert strong.beliefs(line)[-1, 2] > 0.9
+    repelled = pii.Field(sure.node, -strong.chain, 6.0)
+    loops = pii.Graph([0] * 4, [0] * 4, np.ones(4, np.int64), np.array([1, 0, 0, 0]), np.array([[0, 1], [1, 2], [2, 3]]), np.array([[0, 2], [1, 3]]))
+    assert np.isfinite(repelled.beliefs(loops)).all()
+    # All documents are counted, more than the 20,000 of the sample before too.
+    docs = spark.range(21_000).selectExpr("id AS doc_id", "concat('call +1 555 010 ', 1000 + id % 9000) AS text")
+    counted = []
+    learn = pii.learn
+    try:
+        pii.learn = lambda counts: counted.append(counts) or learn(counts)
+        pii.fit(docs, "doc_id", "text")
+    finally:
+        pii.learn = learn
+    assert sum(n for (k, _, _), n in counted[0].items() if k == 0) == 4 * 21_000
+
+
+def test_nodes_of_long_tokens():
+    plain = re.compile(r"[^\s,;:!?\"'<>\[\]{}|]*[0-9@][^\s,;:!?\"'<>\[\]{}|]*")
+    rng = np.random.default_rng(17)
+    for _ in range(2000):
+        text = "".join(rng.choice(list("ab1@.,: \n[|é-"), rng.integers(0, 20)))
+        assert [m.span() for m in pii.NODE.finditer(text)] == [m.span() for m in plain.finditer(text)]
+    g = pii.graph("a" * 300_000 + " 7", [])
+    assert g.starts == [300_001]
