@@ -11,11 +11,14 @@ restated unit takes its old sums back without another look at the old rows.
 """
 
 import hashlib
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from punctuality.functions import year_of
 from punctuality.plans.rollup import delay_rollup
@@ -25,6 +28,14 @@ from punctuality.sources.flights import read_flights
 MANIFEST = "unit STRING, version STRING, files BIGINT, bytes BIGINT, step INT, generation STRING"
 ROLLUP_KEYS = (*ORIGIN_KEYS, "Flight_Month", "is_clean")
 
+# Fixed value: up to so many units are read one by one, so that no row looks at the path of its file.
+READ_APART = 8
+# Tasks that each core gets in a landing, and bounds of the bytes of one.
+TASKS_PER_CORE = 4
+LEAST_TASK_BYTES, MOST_TASK_BYTES = 4 << 20, 64 << 20
+# What a file's split and a rebalanced partition may hold.
+TASK_SIZES = ("spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes")
+
 
 def _below(folder: str, path: Column) -> Column:
     """The first part of a path below ``folder``. URLs write the same path with one or three slashes."""
@@ -50,7 +61,7 @@ def read_manifest(spark: SparkSession, target: str) -> DataFrame:
     except AnalysisException as cause:
         if cause.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], MANIFEST)
+        return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in StructType.fromDDL(MANIFEST)])
 
 
 def newest(manifest: DataFrame) -> DataFrame:
@@ -63,6 +74,38 @@ def _replace(rows: DataFrame, path: str, *partitions: str) -> None:
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(path)
 
 
+@contextmanager
+def enough_tasks(spark: SparkSession, size: int) -> Iterator[None]:
+    """While this lasts, ``size`` bytes are cut so that every core gets several tasks.
+
+    Spark joins partitions of a rebalance up to one size, however many cores wait; a few tasks of a few
+    years each then write the whole landing. Sizes that the session names itself hold.
+    """
+    cores = spark.sparkContext.defaultParallelism
+    share = min(MOST_TASK_BYTES, max(LEAST_TASK_BYTES, size // (TASKS_PER_CORE * cores)))
+    unset = [name for name in TASK_SIZES if spark.conf.get(name, None) is None]
+    for name in unset:
+        spark.conf.set(name, share)
+    try:
+        yield
+    finally:
+        for name in unset:
+            spark.conf.unset(name)
+
+
+def _rows_of(
+    spark: SparkSession, folder: str, new: list[Row], read: Callable[[SparkSession, list[str]], DataFrame]
+) -> DataFrame:
+    """The rows of these units with ``unit``, which is text worked out for every row only where units are many."""
+    if len(new) <= READ_APART:
+        parts = [read(spark, r.paths).select("*", F.lit(r.unit).alias("unit")) for r in new]
+        # Types that a reader takes from the files may differ by unit; all units together give the common ones.
+        if all(part.schema == parts[0].schema for part in parts):
+            return reduce(DataFrame.union, parts)
+    rows = read(spark, [path for r in new for path in r.paths])
+    return rows.select("*", _below(folder, F.col("_metadata.file_path")).alias("unit"))
+
+
 def land_new(
     spark: SparkSession,
     folder: str,
@@ -84,10 +127,11 @@ def land_new(
         return 0
     content = "\n".join(f"{r.unit} {r.version}" for r in new)
     generation = f"{step:06d}-{hashlib.sha256(content.encode()).hexdigest()[:16]}"
-    rows = read(spark, [path for r in new for path in r.paths])
-    rows = rows.select("*", _below(folder, F.col("_metadata.file_path")).alias("unit"))
-    rows = rows.withColumns({"generation": F.lit(generation), "FL_YEAR": year_of(date)}).hint("rebalance", "FL_YEAR")
-    _replace(rows, f"{target}/data", "generation", "FL_YEAR")
+    rows = _rows_of(spark, folder, new, read)
+    rows = rows.withColumn("FL_YEAR", year_of(date)).hint("rebalance", "FL_YEAR")
+    with enough_tasks(spark, sum(r.bytes for r in new)):
+        # The generation's own folder, so that no row carries its name through the shuffle.
+        _replace(rows, f"{target}/data/generation={generation}", "FL_YEAR")
     landed = spark.read.parquet(f"{target}/data").filter(F.col("generation") == generation)
     delta = delay_rollup(landed, refine={"unit": F.col("unit")}).withColumn("generation", F.lit(generation))
     _replace(delta, f"{target}/rollup", "generation")

@@ -9,6 +9,7 @@ from punctuality.sources import increment
 from punctuality.sources.flights import read_flights, read_landed
 
 SF_DIR = "/root/testdata/sf0.001"
+SIZES = ("spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes")
 
 
 @pytest.fixture
@@ -81,6 +82,52 @@ def test_crash_between_writes(spark, wide, tmp_path, monkeypatch, broken):
     same(spark, target, [f"{folder}/{u}" for u in ("one", "two", "three")])
 
 
+def test_every_core_gets_tasks(spark, wide, tmp_path, monkeypatch):
+    """A landing is cut for the cores that wait, of one year too; the session keeps its sizes."""
+    folder, target = str(tmp_path / "in"), str(tmp_path / "out")
+    monkeypatch.setattr(increment, "LEAST_TASK_BYTES", 2000, raising=False)
+    before = {name: spark.conf.get(name, None) for name in SIZES}
+    write(wide.withColumn("FL_DATE", driver_tables.F.lit("2001-02-03")), folder, "one")
+    write(wide.limit(9), folder, "two")
+    assert increment.land_new(spark, folder, target) == 2
+    files = spark.read.parquet(f"{target}/data").inputFiles()
+    assert len([f for f in files if "FL_YEAR=2001" in f]) >= spark.sparkContext.defaultParallelism
+    assert {name: spark.conf.get(name, None) for name in SIZES} == before
+    same(spark, target, [f"{folder}/one", f"{folder}/two"])
+    # A session's own size holds.
+    spark.conf.set(SIZES[0], "32m")
+    try:
+        with increment.enough_tasks(spark, 1):
+            assert spark.conf.get(SIZES[0]) == "32m" and spark.conf.get(SIZES[1]) == "2000"
+        assert spark.conf.get(SIZES[0]) == "32m"
+    finally:
+        spark.conf.unset(SIZES[0])
+
+
+@pytest.mark.parametrize("apart", [0, 8])
+def test_rows_know_their_unit(spark, wide, tmp_path, monkeypatch, apart):
+    folder, target = str(tmp_path / "in"), str(tmp_path / "out")
+    monkeypatch.setattr(increment, "READ_APART", apart, raising=False)
+    for unit, n in {"one": 30, "two 2": 50, "three": 0}.items():
+        write(wide.limit(n), folder, unit)
+    assert increment.land_new(spark, folder, target) == 3
+    found = spark.read.parquet(f"{target}/data").groupBy("unit").count()
+    units = {r.unit for r in increment.read_manifest(spark, target).collect()}
+    assert dict(map(tuple, found.collect())) == {"one": 30, next(u for u in units if u.startswith("two")): 50}
+
+
+def test_readers_types_may_differ_by_unit(spark, wide, tmp_path):
+    folder, target = tmp_path / "in", str(tmp_path / "out")
+    folder.mkdir()
+    header = ",".join(wide.columns)
+    for unit, number in {"a": "1", "b": "1.5"}.items():
+        row = [number if c == "ARR_DELAY" else "" for c in wide.columns]
+        (folder / f"{unit}.csv").write_text(header + "\n" + ",".join(row) + "\n")
+    read = lambda session, paths: read_flights(session, paths, infer=True)
+    assert increment.land_new(spark, str(folder), target, read=read) == 2
+    assert rows_of(increment.read_increments(spark, target).select("ARR_DELAY")) == [(1.0,), (1.5,)]
+
+
 def test_single_files_are_units(spark, wide, tmp_path):
     folder, target = tmp_path / "in", str(tmp_path / "out")
     folder.mkdir()
